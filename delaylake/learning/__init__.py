@@ -3,6 +3,7 @@
 from .evaluation import classification_metrics, evaluate_predicted_labels, regression_metrics
 from .models import (
     classifier_estimators,
+    detached,
     display_name,
     preprocessing_stages,
     regressor_estimators,
@@ -16,6 +17,7 @@ from .training import train_classifiers, train_regressors
 __all__ = [
     "classification_metrics",
     "classifier_estimators",
+    "detached",
     "display_name",
     "evaluate_predicted_labels",
     "minutes_scores",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Estimator, Transformer
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
     Imputer,
@@ -15,10 +15,11 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType
 
 from ..constants import MODEL_DISPLAY_NAMES, SEED
+from ..session import shared_folder
 
 try:  # optional package
     from xgboost.spark import SparkXGBClassifier, SparkXGBRegressor
@@ -99,6 +100,19 @@ def regressor_estimators(label: str = "label", trees: int = 100) -> dict[str, Es
     }
 
 
+def detached(spark: SparkSession, model: Model) -> Model:
+    """The model read back from the shared folder.
+
+    A freshly fitted model holds its training summary, and with it the session, which cannot travel to
+    the executors once the session has observed metrics.
+    """
+    if isinstance(model, PipelineModel):
+        return PipelineModel([*model.stages[:-1], detached(spark, model.stages[-1])])
+    path = shared_folder(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def display_name(class_name: str, names: Mapping[str, str] = MODEL_DISPLAY_NAMES) -> str:
     """Class name without its kind, shown under its usual name."""
     short = class_name.replace("Classifier", "").replace("Regressor", "")

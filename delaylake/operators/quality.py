@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,6 +18,18 @@ def count_stage(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def observed(observation: Observation, df: DataFrame, metrics: Sequence[Column]) -> dict:
+    """The metrics observed while ``df`` was written.
+
+    Spark runs no task for a frame it knows to be empty, and then observes nothing; the metrics are
+    computed directly in that case.
+    """
+    try:
+        return observation.get
+    except Py4JError:
+        return df.agg(*metrics).first().asDict()
+
+
 def null_profile(
     df: DataFrame, columns: Iterable[str] | None = None, threshold_percent: float | None = None
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ...constants import CLASSIFIER_CATEGORICAL, CLASSIFIER_NUMERIC, REGRESSOR_FEATURES
 from ...learning import (
     classification_metrics,
+    detached,
     evaluate_predicted_labels,
     minutes_scores,
     preprocessing_stages,
@@ -153,9 +154,9 @@ def promotion_smaller_wins(spark, sf_dir):
 def score_flights(spark, sf_dir):
     """A fitted classifier over every flight."""
     rows = _features(spark, sf_dir)
-    labelled = rows.withColumn("label", F.col("is_delayed").cast("double"))
+    labelled = rows.withColumn("label", F.col("is_delayed").cast("double")).persist()
     stages = preprocessing_stages(CLASSIFIER_CATEGORICAL, CLASSIFIER_NUMERIC)
-    model = Pipeline(stages=[*stages, LogisticRegression(maxIter=20)]).fit(labelled)
+    model = detached(spark, Pipeline(stages=[*stages, LogisticRegression(maxIter=20)]).fit(labelled))
     return score(rows.drop("is_delayed"), model).select("flight_id", "is_delayed")
 
 
@@ -163,11 +164,11 @@ def score_flights(spark, sf_dir):
 def score_minutes(spark, sf_dir):
     """A fitted regressor over the flights predicted late on one day."""
     rows = _features(spark, sf_dir)
-    delayed = select_features(delayed_with_target(rows), [*REGRESSOR_FEATURES, "delay_minutes"], lenient=True)
+    delayed = select_features(delayed_with_target(rows), [*REGRESSOR_FEATURES, "delay_minutes"], lenient=True).persist()
     available = [c for c in delayed.columns if c != "delay_minutes"]
     stages = preprocessing_stages(*typed_features(delayed, available))
     estimator = LinearRegression(labelCol="delay_minutes")
-    model = Pipeline(stages=[*stages, estimator]).fit(delayed)
+    model = detached(spark, Pipeline(stages=[*stages, estimator]).fit(delayed))
     return minutes_scores(rows, event_predictions(rows), model, dt.date(2024, 1, 15)).select(
         "flight_id", "predicted_delay_minutes"
     )

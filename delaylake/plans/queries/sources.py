@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...session import shared_folder
+from ...sinks.files import write_text
 from ...sources.documents import (
     flatten_flights,
     flatten_structs,
     flatten_weather,
-    parse_flight_documents,
     parse_weather_documents,
+    read_flight_documents,
 )
 from ...sources.event_flights import event_flight_documents, event_weather, event_weather_documents
 from ...sources.tables import table_scan
@@ -51,9 +53,10 @@ SELECT flight_id, flight_number, airline_code, CAST(date AS VARCHAR) AS date,
 FROM flights
 """))
 def flight_json_flatten(spark, sf_dir):
-    """Flight documents to flat rows: last leg, NULL entries dropped, codes normalised."""
-    documents = event_flight_documents(flights(spark, sf_dir))
-    return flatten_flights(parse_flight_documents(documents, "document"))
+    """Landed flight documents to flat rows: last leg, NULL entries dropped, codes normalised."""
+    path = shared_folder(spark, "flight_documents")
+    write_text(event_flight_documents(flights(spark, sf_dir)), path)
+    return flatten_flights(read_flight_documents(spark, path, multi_line=False))
 
 
 @register("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 1000")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -33,6 +34,7 @@ def local_session(cores: int | str = 8, memory: str = "8g", warehouse: str | Non
         .appName("delaylake")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
     if warehouse:
@@ -42,6 +44,11 @@ def local_session(cores: int | str = 8, memory: str = "8g", warehouse: str | Non
     return configure(spark)
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="delaylake-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -52,6 +59,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="delaylake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/delaylake/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -106,6 +106,8 @@ class Lake:
         if partition_columns:
             df = df.hint("rebalance", *partition_columns)
         df.write.mode("overwrite").insertInto(name)
+        # A streaming batch writes from a session of its own; this one has to list the files again.
+        self.spark.catalog.refreshTable(name)
 
     def watermark(self, layer: str, table: str) -> dt.date | None:
         """Snapshot date loaded last; each (layer, table) has its own."""

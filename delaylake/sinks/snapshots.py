@@ -8,6 +8,7 @@ import logging
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..operators.quality import observed
 from .lake import Lake
 
 logger = logging.getLogger(__name__)
@@ -114,7 +115,7 @@ def _publish(lake: Lake, batch: DataFrame, layer: str, table: str, mode: str, ai
         )
     observation = Observation(f"load {layer}.{table}")
     lake.replace_partitions(layer, table, batch.observe(observation, *metrics))
-    seen = observation.get
+    seen = observed(observation, batch, metrics)
     if seen["rows"] == 0:
         return 0
     if mode == "scheduled":

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..constants import PREDICTION_KEY, PREDICTION_UPDATED_COLUMNS
+from ..operators.quality import observed
 from ..operators.reconcile import apply_minutes, reconcile
 from .lake import Lake
 
@@ -89,9 +90,9 @@ def update_minutes_table(
     )
     observation = Observation("update minutes")
     updated = apply_minutes(target, scores, model_name, model_version, order_by, flag="updated")
-    updated = updated.observe(observation, F.count_if("updated").alias("updated")).drop("updated")
-    lake.replace_partitions("ml", "flight_predictions", updated)
-    return observation.get["updated"]
+    count = F.count_if("updated").alias("rows")
+    lake.replace_partitions("ml", "flight_predictions", updated.observe(observation, count).drop("updated"))
+    return observed(observation, updated, [count])["rows"]
 
 
 def reconcile_table(
@@ -111,6 +112,6 @@ def reconcile_table(
         )
     observation = Observation("reconcile")
     updated = reconcile(target, predictions, flag="matched")
-    updated = updated.observe(observation, F.count_if("matched").alias("matched")).drop("matched")
-    lake.replace_partitions("analytics", table, updated)
-    return observation.get["matched"]
+    count = F.count_if("matched").alias("rows")
+    lake.replace_partitions("analytics", table, updated.observe(observation, count).drop("matched"))
+    return observed(observation, updated, [count])["rows"]

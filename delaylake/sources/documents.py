@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,9 +13,12 @@ from ..schemas import FLIGHT_DOCUMENT, WEATHER_ARRAYS, WEATHER_DOCUMENT
 from .files import load_if_present
 
 
-def _require(df: DataFrame, condition: Column, message: str) -> DataFrame:
-    """Fail the job on the first row that breaks ``condition``; a filter is never pruned away."""
-    return df.filter(F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
+def _required(value: Column, condition: Column, message: str) -> Column:
+    """``value``, failing the job where ``condition`` does not hold.
+
+    Sits in the value and not in a filter: filters may be reordered, and another one could drop the row first.
+    """
+    return F.when(condition, value).otherwise(F.raise_error(F.lit(message)))
 
 
 def read_flight_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -31,17 +36,13 @@ def flatten_flights(documents: DataFrame, strict: bool = True) -> DataFrame:
 
     ``strict`` fails on documents without the flight list and on flights without the required fields.
     """
+    listed = F.col("operationalFlights")
     if strict:
-        documents = _require(
-            documents, F.col("operationalFlights").isNotNull(), "document without 'operationalFlights'"
-        )
-    flights = (
-        documents.select(F.explode("operationalFlights").alias("f"))
-        .filter(F.col("f").isNotNull())
-        .select("f", last_element(F.col("f.flightLegs")).alias("leg"))
-    )
-    departure, arrival = F.col("leg.departureInformation"), F.col("leg.arrivalInformation")
+        listed = _required(listed, listed.isNotNull(), "document without 'operationalFlights'")
+    flights = documents.select(F.explode(listed).alias("f")).filter(F.col("f").isNotNull())
+    parts = F.struct("f", last_element(F.col("f.flightLegs")).alias("leg"))
     if strict:
+        departure, arrival = parts["leg"]["departureInformation"], parts["leg"]["arrivalInformation"]
         required = [
             F.col("f.id"),
             F.col("f.flightNumber"),
@@ -51,12 +52,12 @@ def flatten_flights(documents: DataFrame, strict: bool = True) -> DataFrame:
             arrival["times"]["scheduled"],
             departure["airport"]["code"],
             arrival["airport"]["code"],
-            F.col("leg.aircraft"),
+            parts["leg"]["aircraft"],
         ]
-        complete = F.lit(True)
-        for field in required:
-            complete = complete & field.isNotNull()
-        flights = _require(flights, complete, "flight without a required field")
+        complete = reduce(lambda a, b: a & b, [field.isNotNull() for field in required])
+        parts = _required(parts, complete, "flight without a required field")
+    flights = flights.select(parts.alias("parts")).select("parts.f", "parts.leg")
+    departure, arrival = F.col("leg.departureInformation"), F.col("leg.arrivalInformation")
     return flights.select(
         F.col("f.id").alias("flight_id"),
         F.col("f.flightNumber").alias("flight_number"),
@@ -110,10 +111,9 @@ def flatten_weather(documents: DataFrame) -> DataFrame:
     aligned = F.col("daily").isNotNull() & (days > 0)
     for name in WEATHER_ARRAYS:
         aligned = aligned & (F.size(F.col(f"daily.{name}")) == days)
-    documents = _require(documents, F.coalesce(aligned, F.lit(False)), "weather document without aligned daily data")
-    rows = documents.select(
-        "airport_iata", F.inline(F.arrays_zip(*[F.col(f"daily.{name}") for name in WEATHER_ARRAYS]))
-    )
+    zipped = F.arrays_zip(*[F.col(f"daily.{name}") for name in WEATHER_ARRAYS])
+    checked = _required(zipped, F.coalesce(aligned, F.lit(False)), "weather document without aligned daily data")
+    rows = documents.select("airport_iata", F.inline(checked))
     return rows.withColumnsRenamed(WEATHER_ARRAYS).select(*WEATHER_ARRAYS.values(), "airport_iata")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,10 @@ from pyspark.sql.types import StructType
 from ..schemas import IATA_DELAY_CODES, WEATHER_CODES
 
 
+# Names under which Spark knows the encodings Python spells differently.
+_SPARK_ENCODINGS = {"iso8859-1": "ISO-8859-1", "ascii": "US-ASCII"}
+
+
 def load_if_present(load: Callable[[], DataFrame]) -> DataFrame | None:
     """The frame ``load`` gives, or None when its path does not exist; files are listed only once."""
     try:
@@ -24,7 +29,8 @@ def load_if_present(load: Callable[[], DataFrame]) -> DataFrame | None:
 def read_csv(
     spark: SparkSession, path: str, schema: str | StructType, sep: str = ",", encoding: str = "utf-8"
 ) -> DataFrame:
-    """CSV with a header; quoted values may hold line breaks."""
+    """CSV with a header; quoted values may hold line breaks. ``encoding`` takes any usual name of one Spark reads."""
+    encoding = _SPARK_ENCODINGS.get(codecs.lookup(encoding).name, encoding)
     return spark.read.schema(schema).csv(
         path, header=True, sep=sep, encoding=encoding, multiLine=True, quote='"', escape='"', mode="FAILFAST"
     )
