@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import SEED, TEST_SHARE
+from ..operators.joins import checked_broadcast
 
 _BUCKETS = 65536
 
@@ -25,7 +26,7 @@ def with_split(
     A row's bucket is a hash of its key, so the split survives repartitioning and reruns, and copies of
     one key stay on one side. A histogram of buckets per label, at most 65536 rows each, gives the
     bucket where the share is reached: the data is never sorted and no label is gathered in one task.
-    The share is exact to one bucket.
+    The share is exact to one bucket. The histogram is computed at once, as its cuts are broadcast.
     """
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
     # The first four hex digits of the digest: 0 .. 65535.
@@ -46,7 +47,7 @@ def with_split(
         .agg(F.max("split_bucket").alias("cut_bucket"))
     )
     return (
-        marked.join(cuts, F.col("split_group").eqNullSafe(F.col("cut_group")), "left")
+        marked.join(checked_broadcast(cuts), F.col("split_group").eqNullSafe(F.col("cut_group")), "left")
         .withColumn(output, F.col("split_bucket") <= F.col("cut_bucket"))
         .drop("split_group", "split_bucket", "cut_group", "cut_bucket")
     )

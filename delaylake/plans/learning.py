@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..constants import (
     CLASSIFIER_CATEGORICAL,
@@ -94,8 +95,13 @@ def predict_delays(lake: Lake, run_id: str, prediction_date: Column | None = Non
     rows = prediction_rows(
         scored, run_id, champion["tags"]["model_type"], str(champion["version"]), prediction_date, _LOAD_ORDER
     )
+    # Scored once for the table and the mix.
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     upsert_predictions_table(lake, rows, _LOAD_ORDER)
-    return prediction_mix(scored)
+    mix = prediction_mix(rows)
+    mix = lake.spark.createDataFrame(mix.collect(), mix.schema)
+    rows.unpersist()
+    return mix
 
 
 def predict_minutes(lake: Lake, flight_date: dt.date) -> int:

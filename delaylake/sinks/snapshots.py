@@ -8,6 +8,7 @@ import logging
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..operators.joins import checked_broadcast
 from ..operators.quality import observed
 from .lake import Lake
 
@@ -98,7 +99,7 @@ def replace_snapshots(
         # One row per airport.
         newest = batch.groupBy(airport_column).agg(F.max("date_photo").alias("newest"))
         batch = (
-            batch.join(newest, airport_column)
+            batch.join(checked_broadcast(newest), airport_column)
             .filter(F.col("date_photo") == F.col("newest"))
             .drop("newest")
         )

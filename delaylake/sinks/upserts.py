@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -30,9 +31,7 @@ def merge_predictions(
     target_columns = target.columns
     kept = [c for c in target_columns if c not in key and c not in updated and c in batch.columns]
     updated = [c for c in updated if c in batch.columns]
-    has_key = F.lit(True)
-    for c in key:
-        has_key = has_key & F.col(c).isNotNull()
+    has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
     position = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_by])
     collapsed = (
         batch.filter(has_key)
@@ -44,7 +43,9 @@ def merge_predictions(
     )
     in_batch = F.col("b.last").isNotNull()
     old = F.col("old")
-    joined = target.withColumn("old", F.lit(True)).alias("t").join(collapsed.alias("b"), list(key), "full_outer")
+    # Both sides have one row per key here: rows without key, however many, stay out of the shuffle.
+    keyed = target.filter(has_key).withColumn("old", F.lit(True))
+    joined = keyed.alias("t").join(collapsed.alias("b"), list(key), "full_outer")
 
     def value(name: str) -> Column:
         if name in key:
@@ -55,7 +56,7 @@ def merge_predictions(
             return F.when(old, F.col(f"t.{name}")).otherwise(F.col(f"b.first.{name}"))
         return F.col(f"t.{name}")
 
-    merged = joined.select([value(c).alias(c) for c in target_columns])
+    merged = joined.select([value(c).alias(c) for c in target_columns]).unionByName(target.filter(~has_key))
     unkeyed = batch.filter(~has_key)
     return merged.unionByName(
         unkeyed.select([c for c in target_columns if c in unkeyed.columns]), allowMissingColumns=True
@@ -103,15 +104,25 @@ def reconcile_table(
 ) -> int:
     """Fill ``is_delayed_predicted`` in the analytics table; returns rows matched.
 
-    ``date_photos`` limits the rewrite to those snapshots.
+    A narrow pass over key columns finds the snapshot dates with a label to change; only those are
+    rewritten. ``date_photos`` limits it to those snapshots.
     """
     target = lake.table("analytics", table)
     if date_photos is not None:
-        target = target.filter(
-            F.col("date_photo").isin([F.lit(d.isoformat()).cast("date") for d in date_photos])
-        )
-    observation = Observation("reconcile")
-    updated = reconcile(target, predictions, flag="matched")
-    count = F.count_if("matched").alias("rows")
-    lake.replace_partitions("analytics", table, updated.observe(observation, count).drop("matched"))
-    return observed(observation, updated, [count])["rows"]
+        target = target.filter(F.col("date_photo").isin(list(date_photos)))
+    old = F.col("is_delayed_predicted")
+    narrow = target.select(
+        "flight_number", "date", "origin_airport", "date_photo", "is_delayed_predicted", old.alias("old")
+    )
+    # One row per snapshot date.
+    found = (
+        reconcile(narrow, predictions, flag="matched")
+        .groupBy("date_photo")
+        .agg(F.count_if("matched").alias("matched"), F.count_if(~old.eqNullSafe(F.col("old"))).alias("changed"))
+        .collect()
+    )
+    changed = [r["date_photo"] for r in found if r["changed"]]
+    if changed:
+        days = _touched(target, "date_photo", changed)
+        lake.replace_partitions("analytics", table, reconcile(days, predictions))
+    return sum(r["matched"] for r in found)

@@ -23,6 +23,8 @@ def duck():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name in ORACLES:
         difference = compare(df, duck, ORACLES[name])
         assert difference is None, difference
