@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def clip_and_round(c: Column, digits: int = 1) -> Column:
-    """Negative values become 0, then half-to-even rounding (2.25 -> 2.2)."""
-    return F.bround(F.greatest(c, F.lit(0.0)), digits)
+    """Negative values become 0, then half-to-even rounding of the scaled value (2.25 -> 2.2).
+
+    ``bround`` rounds the printed decimal instead, which differs where scaling lands on a tie.
+    """
+    scale = F.lit(float(10**digits))
+    return F.rint(F.greatest(c, F.lit(0.0)) * scale) / scale
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -9,7 +9,7 @@ from .models import (
     regressor_estimators,
     typed_features,
 )
-from .registry import production_version, promote, register
+from .registry import production_version, promote, register, tag_version
 from .scoring import minutes_scores, prediction_rows, score
 from .split import stratified_split, with_split
 from .training import train_classifiers, train_regressors
@@ -30,6 +30,7 @@ __all__ = [
     "regressor_estimators",
     "score",
     "stratified_split",
+    "tag_version",
     "train_classifiers",
     "train_regressors",
     "typed_features",

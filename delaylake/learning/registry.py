@@ -85,3 +85,12 @@ def production_version(registry: DataFrame, name: str) -> dict | None:
         .first()
     )
     return row.asDict() if row else None
+
+
+def tag_version(registry: DataFrame, version: int, tags: Mapping[str, str]) -> DataFrame:
+    """Registry with ``tags`` set on one version; other tags stay."""
+    kept = F.map_filter("tags", lambda key, _: ~key.isin(list(tags)))
+    added = F.create_map(*[F.lit(part) for item in tags.items() for part in item])
+    return registry.withColumn(
+        "tags", F.when(F.col("version") == version, F.map_concat(kept, added)).otherwise(F.col("tags"))
+    )

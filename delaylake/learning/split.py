@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import SEED, TEST_SHARE
 from ..operators.joins import checked_broadcast
+from ..session import written
 
 _BUCKETS = 65536
 
@@ -47,7 +48,7 @@ def with_split(
         .agg(F.max("split_bucket").alias("cut_bucket"))
     )
     return (
-        marked.join(checked_broadcast(cuts), F.col("split_group").eqNullSafe(F.col("cut_group")), "left")
+        marked.join(checked_broadcast(written(cuts, "split")), F.col("split_group").eqNullSafe(F.col("cut_group")), "left")
         .withColumn(output, F.col("split_bucket") <= F.col("cut_bucket"))
         .drop("split_group", "split_bucket", "cut_group", "cut_bucket")
     )

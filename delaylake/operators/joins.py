@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 HOW = ("left", "inner", "right", "outer")
 BROADCAST_MAX_ROWS = 100_000
@@ -16,14 +15,10 @@ BROADCAST_MAX_ROWS = 100_000
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``df`` hinted for broadcast when it has at most ``max_rows`` rows, else unchanged.
 
-    The count stops after ``max_rows`` + 1 rows, and the counted rows are kept for the join. A larger
-    frame joins by shuffle, where AQE splits hot keys.
+    The count runs at once and stops after ``max_rows`` + 1 rows; a frame that is costly to compute is
+    better written first. A larger frame joins by shuffle, where AQE splits hot keys.
     """
-    head = df.limit(max_rows + 1).persist(StorageLevel.MEMORY_AND_DISK)
-    if head.count() <= max_rows:
-        return F.broadcast(head)
-    head.unpersist()
-    return df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def equi_join(

@@ -21,7 +21,7 @@ from ..constants import (
     REGRESSOR_FEATURES,
     REGRESSOR_REGISTRY,
 )
-from ..learning.registry import production_version, promote, register
+from ..learning.registry import production_version, promote, register, tag_version
 from ..learning.scoring import minutes_scores, prediction_rows, score
 from ..learning.training import Fitted, run_rows, train_classifiers, train_regressors
 from ..operators.kpis import prediction_mix
@@ -101,9 +101,36 @@ def predict_delays(lake: Lake, run_id: str, prediction_date: Column | None = Non
     mix = prediction_mix(rows)
     mix = lake.spark.createDataFrame(mix.collect(), mix.schema)
     rows.unpersist()
+    _log_scoring(lake, run_id, champion, mix)
     return mix
 
 
+def _log_scoring(lake: Lake, run_id: str, champion: dict, mix: DataFrame) -> None:
+    """Log a scoring run, and note it on the model version that served it."""
+    counts = mix.first()
+    if counts is None:
+        return
+    metrics = F.create_map(*[part for c in mix.columns for part in (F.lit(c), F.col(c).cast("double"))])
+    model = champion["tags"]["model_type"]
+    params = F.create_map(F.lit("model_used"), F.lit(model), F.lit("model_path"), F.lit(champion["model_path"]))
+    lake.create("ml", "runs")
+    mix.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(f"{model}_prediction").alias("model"),
+        params.alias("params"),
+        metrics.alias("metrics"),
+        F.current_timestamp().alias("logged_at"),
+        F.lit(champion["name"]).alias("experiment"),
+    ).write.mode("append").insertInto(lake.name("ml", "runs"))
+    tags = {
+        "last_prediction_run_id": run_id,
+        "last_num_predictions": str(counts["num_predictions"]),
+        "last_pct_delayed": str(counts["pct_delayed"]),
+    }
+    registry = lake.table("ml", "model_registry").filter(F.col("name") == champion["name"])
+    lake.replace_partitions("ml", "model_registry", tag_version(registry, champion["version"], tags))
+
+
 def predict_minutes(lake: Lake, flight_date: dt.date) -> int:
     """Minutes for the flights predicted late that day; 0 when there is no model or no such flight."""
     if not (lake.exists("ml", "model_registry") and lake.exists("ml", "flight_predictions")):

@@ -15,6 +15,7 @@ from ...operators import (
     enrich_with_weather,
     latest_version,
 )
+from ...session import written
 from ...sources.event_flights import event_raw_flights, event_weather
 from ..analytics import enriched_flights
 from ..staging import staged_flights, staged_weather
@@ -108,7 +109,8 @@ FROM flights f LEFT JOIN weather w ON f.date = w.date AND f.origin_airport = w.a
 def enrich_weather(spark, sf_dir):
     """Flights with the weather of their day and origin."""
     rows = flights(spark, sf_dir)
-    return enrich_with_weather(rows.select("flight_id", "date", "origin_airport"), event_weather(rows)).select(
+    weather = written(event_weather(rows), "weather")
+    return enrich_with_weather(rows.select("flight_id", "date", "origin_airport"), weather).select(
         "flight_id", "origin_airport", "temp_max", "temp_min", "temp_mean", "weather_code"
     )
 
@@ -173,7 +175,7 @@ LEFT JOIN part p ON try_cast(trim(f.delay_code, '{}') AS BIGINT) = p.p_partkey
 def analytics_flights(spark, sf_dir):
     """The whole analytics plan: version, code parsing, three joins, derived columns."""
     rows = flights(spark, sf_dir)
-    weather = event_weather(rows).withColumn("date_photo", F.col("date"))
+    weather = written(event_weather(rows).withColumn("date_photo", F.col("date")), "weather")
     twice = weather.unionByName(
         weather.withColumns({"date_photo": F.date_sub("date", 1), "temp_max": F.lit(-1.0)})
     )

@@ -24,13 +24,14 @@ from ...learning import (
 )
 from ...learning.training import train_classifiers, train_regressors
 from ...operators import add_flight_features, delayed_with_target, enrich_with_weather, reconcile, select_features
+from ...session import written
 from ...sources.event_flights import event_predictions, event_weather
 from .base import flights, over_flights, register
 
 
 def _features(spark, sf_dir):
     rows = flights(spark, sf_dir)
-    return add_flight_features(enrich_with_weather(rows, event_weather(rows)))
+    return add_flight_features(enrich_with_weather(rows, written(event_weather(rows), "weather")))
 
 
 @register(over_flights("""

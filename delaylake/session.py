@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on; all can be changed on a running session.
 RUNTIME_SETTINGS = {
@@ -63,3 +63,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
         root = _local_folder()
     return f"{root.rstrip('/')}/delaylake/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` computed once, from a Parquet copy in the shared folder.
+
+    For results used more than once or joined as a small side: Spark then knows their size, and a lost
+    executor costs no recomputation.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

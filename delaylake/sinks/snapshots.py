@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import checked_broadcast
 from ..operators.quality import observed
+from ..session import written
 from .lake import Lake
 
 logger = logging.getLogger(__name__)
@@ -99,7 +100,7 @@ def replace_snapshots(
         # One row per airport.
         newest = batch.groupBy(airport_column).agg(F.max("date_photo").alias("newest"))
         batch = (
-            batch.join(checked_broadcast(newest), airport_column)
+            batch.join(checked_broadcast(written(newest, "newest")), airport_column)
             .filter(F.col("date_photo") == F.col("newest"))
             .drop("newest")
         )

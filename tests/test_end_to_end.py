@@ -116,6 +116,10 @@ def test_cycle(spark, lake, landed, tmp_path):
 
     mix = predict_delays(lake, "run-1").first()
     assert mix.num_predictions == 200 and 40 < mix.pct_delayed < 70
+    scoring = lake.table("ml", "runs").filter("run_id = 'run-1'").first()
+    assert scoring.metrics["pct_delayed"] == mix.pct_delayed and scoring.params["model_used"] == "Tree"
+    tags = lake.table("ml", "model_registry").filter("stage = 'Production' AND tags['f1'] IS NOT NULL").first().tags
+    assert tags["last_num_predictions"] == "200" and tags["last_prediction_run_id"] == "run-1"
     predict_delays(lake, "run-2")
     predictions = lake.table("ml", "flight_predictions")
     assert predictions.count() == 200 and predictions.filter("run_id = 'run-2'").count() == 200
