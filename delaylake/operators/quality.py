@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from ..constants import EXPECTED_AIRPORTS, READINESS_HOURS
 from .filters import recent
@@ -35,11 +36,17 @@ def null_profile(
 ) -> DataFrame:
     """NULL count and percentage per column in one pass; empty input gives no rows.
 
-    ``breached`` marks columns strictly above the threshold.
+    NaN counts as NULL. ``breached`` marks columns strictly above the threshold.
     """
     columns = list(columns or df.columns)
+
+    def missing(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        may_be_nan = isinstance(df.schema[name].dataType, (FloatType, DoubleType))
+        return c.isNull() | F.isnan(c) if may_be_nan else c.isNull()
+
     counts = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n_{i}") for i, c in enumerate(columns)]
+        F.count(F.lit(1)).alias("rows"), *[F.count_if(missing(c)).alias(f"n_{i}") for i, c in enumerate(columns)]
     )
     profile = counts.filter(F.col("rows") > 0).select(
         F.inline(

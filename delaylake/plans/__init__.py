@@ -9,7 +9,7 @@ from .learning import (
     train_delay_classifier,
     train_minutes_regressor,
 )
-from .staging import cycle_ready, stage_flights, stage_weather
+from .staging import cycle_ready, snapshot_null_profile, stage_flights, stage_weather
 
 __all__ = [
     "build_analytics",
@@ -20,6 +20,7 @@ __all__ = [
     "predict_delays",
     "predict_minutes",
     "publish_run_kpis",
+    "snapshot_null_profile",
     "stage_flights",
     "stage_weather",
     "train_delay_classifier",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import FLIGHT_KEY, NULL_ALARM_FLIGHTS, NULL_ALARM_WEATHER, WEATHER_KEY
+from ..constants import FLIGHT_KEY, NULL_ALARM_DEFAULT, NULL_ALARM_FLIGHTS, NULL_ALARM_WEATHER, WEATHER_KEY
 from ..operators.columns import convert_dates, convert_types
 from ..operators.dedupe import drop_duplicates
 from ..operators.quality import null_profile, readiness
@@ -66,10 +66,11 @@ def stage_weather(lake: Lake, mode: str = "raw") -> int:
     return snapshot_replace(lake, staged, "staging", table, mode, "airport_iata", lake.watermark("raw", table))
 
 
-def staging_null_profile(lake: Lake, table: str) -> DataFrame:
-    """Null rates of the last staged snapshot against the alarm threshold of its kind."""
-    weather = table.endswith("weather")
-    scan = incremental_scan(lake, "staging", table)
-    return null_profile(scan, threshold_percent=NULL_ALARM_WEATHER if weather else NULL_ALARM_FLIGHTS).withColumn(
-        "table_name", F.lit(table)
-    )
+def snapshot_null_profile(lake: Lake, layer: str, table: str) -> DataFrame:
+    """Null rates of the last snapshot of a table against the alarm threshold of its kind."""
+    if layer != "staging":
+        limit = NULL_ALARM_DEFAULT
+    else:
+        limit = NULL_ALARM_WEATHER if table.endswith("weather") else NULL_ALARM_FLIGHTS
+    profile = null_profile(incremental_scan(lake, layer, table), threshold_percent=limit)
+    return profile.withColumn("table_name", F.lit(f"{layer}.{table}"))

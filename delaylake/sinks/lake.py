@@ -87,9 +87,12 @@ class Lake:
         """Remove whole partitions: folders go away, no row is rewritten."""
         if not specs:
             return
+
+        def literal(value: str) -> str:
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
         clauses = ", ".join(
-            "PARTITION (" + ", ".join("{} = '{}'".format(k, v.replace("'", "\\'")) for k, v in spec.items()) + ")"
-            for spec in specs
+            "PARTITION (" + ", ".join(f"`{k}` = {literal(v)}" for k, v in spec.items()) + ")" for spec in specs
         )
         self.spark.sql(f"ALTER TABLE {self.name(layer, table)} DROP IF EXISTS {clauses}")
 

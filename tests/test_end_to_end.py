@@ -22,12 +22,12 @@ from delaylake.plans import (
     predict_delays,
     predict_minutes,
     publish_run_kpis,
+    snapshot_null_profile,
     stage_flights,
     stage_weather,
     train_delay_classifier,
     train_minutes_regressor,
 )
-from delaylake.plans.staging import staging_null_profile
 from delaylake.sources import read_flight_documents, read_weather_documents
 from test_sources import daily, write_json
 
@@ -104,8 +104,10 @@ def test_cycle(spark, lake, landed, tmp_path):
     assert (row.weather_description, row.temp_max, row.date, row.date_photo) == ("Mist", 10.0, DAY, RUN.date())
     assert (row.dep_hour, row.departure_time_block, row.wifi_enabled, row.is_landed) == (6, "morning", True, True)
     assert flights.filter("code_iata IS NULL").count() == 100
-    profile = {r.column_name: r for r in staging_null_profile(lake, "raw_flights").collect()}
+    profile = {r.column_name: r for r in snapshot_null_profile(lake, "staging", "raw_flights").collect()}
     assert profile["type_name"].breached and not profile["flight_id"].breached
+    profile = {r.column_name: r for r in snapshot_null_profile(lake, "analytics", "raw_flights").collect()}
+    assert profile["type_name"].breached and not profile["code_iata"].breached
 
     assert train_delay_classifier(lake, {"Tree": DecisionTreeClassifier()}) == "Production"
     assert train_minutes_regressor(lake, {"Tree": DecisionTreeRegressor()}) == "Production"
