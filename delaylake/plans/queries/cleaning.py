@@ -10,6 +10,8 @@ from ...functions import (
     array_to_braces,
     bool_map,
     braces_to_value,
+    clip_and_round,
+    map_value,
     normalised_code,
     to_calendar_date,
     to_integer,
@@ -34,6 +36,7 @@ from ...operators import (
     null_profile,
     prediction_mix,
     readiness,
+    recent,
     rename_columns,
     require_min_rows,
     select_features,
@@ -395,3 +398,25 @@ def stage_counts(spark, sf_dir):
     return spark.createDataFrame(
         [("before", before.get["rows"]), ("after", after.get["rows"])], "stage string, row_count bigint"
     )
+
+
+@register(over_flights("""
+SELECT flight_id, CASE status WHEN 'ARRIVED' THEN 'landed' ELSE status END AS shown FROM flights
+"""))
+def renamed_values(spark, sf_dir):
+    """Values renamed by a map; others stay as they are."""
+    return flights(spark, sf_dir).select("flight_id", map_value(F.col("status"), {"ARRIVED": "landed"}).alias("shown"))
+
+
+@register(over_flights("SELECT flight_id, round_even(greatest(value - 10, 0), 1) AS minutes FROM flights"))
+def clipped_minutes(spark, sf_dir):
+    """Negative minutes become 0, the rest has one decimal, ties to even."""
+    return flights(spark, sf_dir).select("flight_id", clip_and_round(F.col("value") - 10).alias("minutes"))
+
+
+@register(over_flights("""
+SELECT flight_id, execution_date FROM flights WHERE execution_date >= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
+"""))
+def recent_flights(spark, sf_dir):
+    """Flights loaded in the last two hours before the newest one."""
+    return recent(flights(spark, sf_dir), as_of=_newest_event(spark, sf_dir)).select("flight_id", "execution_date")

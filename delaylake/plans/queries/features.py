@@ -175,7 +175,7 @@ LEFT JOIN part p ON try_cast(trim(f.delay_code, '{}') AS BIGINT) = p.p_partkey
 def analytics_flights(spark, sf_dir):
     """The whole analytics plan: version, code parsing, three joins, derived columns."""
     rows = flights(spark, sf_dir)
-    weather = written(event_weather(rows).withColumn("date_photo", F.col("date")), "weather")
+    weather = written(event_weather(rows), "weather").withColumn("date_photo", F.col("date"))
     twice = weather.unionByName(
         weather.withColumns({"date_photo": F.date_sub("date", 1), "temp_max": F.lit(-1.0)})
     )

@@ -38,6 +38,8 @@ def local_session(cores: int | str = 8, memory: str = "8g", warehouse: str | Non
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
+        # Test tables are small: keep their partitions on several cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     )
     if warehouse:
         builder = builder.config("spark.sql.warehouse.dir", warehouse)
