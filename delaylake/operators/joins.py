@@ -50,37 +50,36 @@ def equi_join(
         right = right.withColumnsRenamed(dict(rename_right))
     hot_side = hot_side or {"left": "left", "right": "right", "inner": "both", "outer": "both"}[how]
 
-    left_keys, right_keys = list(on.keys()), list(on.values())
-    shared_keys = [a for a, b in on.items() if a == b]
-    overlap = (set(left.columns) & set(right.columns)) - set(shared_keys)
-    left_names = {c: c + suffixes[0] if c in overlap else c for c in left.columns}
-    right_names = {c: c + suffixes[1] if c in overlap else c for c in right.columns}
-
-    # Unique working names keep both sides apart, whatever they are called outside.
-    lw = left.select([F.col(f"`{c}`").alias(f"l_{i}") for i, c in enumerate(left.columns)])
-    rw = right.select([F.col(f"`{c}`").alias(f"r_{i}") for i, c in enumerate(right.columns)])
-    lcol = {c: f"l_{i}" for i, c in enumerate(left.columns)}
-    rcol = {c: f"r_{i}" for i, c in enumerate(right.columns)}
-    pairs = [(lcol[a], rcol[b]) for a, b in zip(left_keys, right_keys)]
-
-    joined = _outer_aware_join(lw, rw, pairs, how, null_safe, hot_side)
-
-    output: list[Column] = []
-    for c in left.columns:
-        value = F.col(lcol[c])
+    left_columns, right_columns, right_keys = left.columns, right.columns, set(on.values())
+    shared_keys = {a for a, b in on.items() if a == b}
+    overlap = (set(left_columns) & set(right_columns)) - shared_keys
+
+    # Numbered working names keep both sides apart, whatever they are called outside.
+    lcol = {c: f"l_{i}" for i, c in enumerate(left_columns)}
+    rcol = {c: f"r_{i}" for i, c in enumerate(right_columns)}
+    pairs = [(lcol[a], rcol[b]) for a, b in on.items()]
+    joined = _outer_aware_join(
+        left.toDF(*lcol.values()), right.toDF(*rcol.values()), pairs, how, null_safe, hot_side
+    )
+
+    def named(expression: str, name: str) -> str:
+        return "{} AS `{}`".format(expression, name.replace("`", "``"))
+
+    output = []
+    for c in left_columns:
+        value = lcol[c]
         if c in shared_keys:
             if drop_right_keys:
                 continue
             if how == "right":
-                value = F.col(rcol[c])
+                value = rcol[c]
             elif how == "outer":
-                value = F.coalesce(value, F.col(rcol[c]))
-        output.append(value.alias(left_names[c]))
-    for c in right.columns:
-        if c in shared_keys or (drop_right_keys and c in right_keys):
-            continue
-        output.append(F.col(rcol[c]).alias(right_names[c]))
-    return joined.select(output)
+                value = f"coalesce({value}, {rcol[c]})"
+        output.append(named(value, c + suffixes[0] if c in overlap else c))
+    for c in right_columns:
+        if c not in shared_keys and not (drop_right_keys and c in right_keys):
+            output.append(named(rcol[c], c + suffixes[1] if c in overlap else c))
+    return joined.selectExpr(*output)
 
 
 def _condition(pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
