@@ -2,6 +2,9 @@
 
 from . import (  # noqa: F401
     exact_dedup,
+    mixing,
+    quality_rules,
+    url_filters,
 )
 from .common import ORACLES, QUERIES
 
