@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     exact_dedup,
     mixing,
+    packing,
     quality_rules,
     url_filters,
 )
