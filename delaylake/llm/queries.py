@@ -2,9 +2,11 @@
 
 from . import (  # noqa: F401
     exact_dedup,
+    language_id,
     mixing,
     packing,
     quality_rules,
+    secret_scan,
     url_filters,
 )
 from .common import ORACLES, QUERIES
