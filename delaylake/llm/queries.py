@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     packing,
     quality_rules,
     secret_scan,
+    simhash,
     url_filters,
 )
 from .common import ORACLES, QUERIES
