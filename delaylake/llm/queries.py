@@ -5,9 +5,11 @@ from . import (  # noqa: F401
     language_id,
     mixing,
     packing,
+    phrase_dedup,
     quality_rules,
     secret_scan,
     simhash,
+    suffix_dedup,
     url_filters,
 )
 from .common import ORACLES, QUERIES
