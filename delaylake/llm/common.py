@@ -59,10 +59,13 @@ def row_key(*columns: str) -> Column:
 def kept_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` named in ``kept`` (``doc_id``, ``text_sha256``), each once, with all their columns.
 
-    Rows move by doc_id and text together, so a text that many documents share is not one key.
+    Rows move by one key of doc_id and text, once: a text that many documents share is not one key, and the
+    same partitioning serves to leave out repeated rows.
     """
-    sha = F.sha2(text_of().cast("binary"), 256)
-    named = kept.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).dropDuplicates()
-    rows = docs.withColumn("__text", sha)
-    on = rows["doc_id"].eqNullSafe(named["__id"]) & (rows["__text"] == named["__sha"])
-    return rows.join(named, on, "left_semi").dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+
+    def key(sha: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), sha).alias("__key")
+
+    rows = docs.select(F.struct("*").alias("__doc"), key(F.sha2(text_of().cast("binary"), 256)))
+    named = kept.select(key(F.col("text_sha256")))
+    return rows.join(named, "__key", "left_semi").dropDuplicates(["__key"]).select("__doc.*")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import register, table, text_of, written
+from .common import kept_rows, register, table, text_of, written
 
 TABLE_BYTES = 48 << 20  # complete content one table may hold
 FAN_OUT = 16  # spill files per level of recursion
@@ -155,6 +155,11 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    return kept_rows(docs, exact_duplicates(docs).where("kept"))
+
+
 @register("""
 SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept,

@@ -99,6 +99,30 @@ def mix_sources(
     )
 
 
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MAX_EPOCHS) -> DataFrame:
+    """The mix as rows with the columns of ``docs``: a document stands there as often as it is taken whole.
+
+    The one that a source's target cuts comes with its first words, joined by single spaces, and ``n_chars``
+    counts these where the table has that column. Documents without words are never taken.
+    """
+    taken = mix_sources(docs, weights, most).groupBy("text_key").agg(F.sum("taken").alias("__taken"), F.first("size").alias("__size"))
+    rows = docs.select(F.struct("*").alias("__doc"), row_key("doc_id", "text").alias("text_key")).dropDuplicates(["text_key"])
+    rows = rows.join(taken.where("__taken > 0"), "text_key")
+    whole, part = F.floor(F.col("__taken") / F.col("__size")), F.col("__taken") % F.col("__size")
+    copies = F.array_repeat(F.lit(0).cast("bigint"), whole.cast("int"))
+    rows = rows.select(
+        "__doc", F.explode(F.concat(copies, F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))).alias("__part")
+    )
+    text = F.col("__doc.text")
+    first = F.array_join(F.slice(words_of(text), F.lit(1), F.col("__part").cast("int")), " ")
+    rows = rows.withColumn("__text", F.when(F.col("__part") == 0, text).otherwise(first))
+    columns = {c: F.col(f"__doc.`{c}`") for c in docs.columns} | {"text": F.col("__text")}
+    if "n_chars" in columns:
+        cut = F.length("__text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("__part") == 0, F.col("__doc.n_chars")).otherwise(cut)
+    return rows.select([c.alias(n) for n, c in columns.items()])
+
+
 @register()
 def op2_source_mixing(spark, sf_dir):
     """All documents mixed by weights 1, 2, 3 of their sources."""
