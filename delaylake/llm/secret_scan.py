@@ -30,6 +30,7 @@ _LONG_HEX = re.compile(r"[0-9a-f]{24}")
 NAME_SCORES = {
     "password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "passcode": 3, "secret": 3, "apikey": 3, "token": 2, "credential": 2,
     "credentials": 2, "bearer": 2, "signature": 1, "auth": 1, "private": 1, "access": 1, "key": 1, "pin": 1, "salt": 1,
+    "accesskey": 2, "privatekey": 2, "signingkey": 2,
 }
 PLACEHOLDERS = {"changeme", "example", "password", "secret", "token", "none", "null", "true", "false", "undefined", "todo", "xxx"}
 REPORT_FROM = 5
@@ -98,7 +99,8 @@ def assignments(text: str) -> Iterator[tuple[str, Constant]]:
 
 def name_score(name: str) -> int:
     words = [w.lower() for w in _NAME_WORD.findall(name)]
-    return sum(NAME_SCORES.get(w, 0) for w in words)
+    pairs = [a + b for a, b in zip(words, words[1:])]
+    return sum(NAME_SCORES.get(w, 0) for w in words + pairs)
 
 
 def literal_score(value: str) -> int:
