@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure, shared_folder, written
+from ..session import configure as configure_library
+from ..session import shared_folder, written
 
 __all__ = [
     "ORACLES", "QUERIES", "configure", "kept_rows", "register", "row_key", "shared_folder", "table", "text_of",
@@ -21,6 +22,16 @@ ORACLES: dict[str, str] = {}
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+# Python sees texts in batches of bounded bytes, however long the texts are.
+BATCH_BYTES = "4m"
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    configure_library(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 def register(sql: str | None = None):
     """Register under the function's name, with SQL that must give the same rows where SQL can say it."""
 

@@ -20,15 +20,14 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import row_key, text_of, written
 
-BUCKET_ENTRIES = 250_000  # aimed at per bucket
-FLUSH_ENTRIES = 400_000  # a task packs its entries when it holds so many
+BUCKET_ENTRIES = 100_000  # aimed at per bucket
+FLUSH_ENTRIES = 150_000  # a task packs its entries when it holds so many
 SAMPLE_PER_BUCKET, SAMPLE_PER_ROW = 60, 40
 
 #: Entries of a text: core, full (uint64), start (int64), count (int64). Later levels get the ranges to look into.
@@ -165,19 +164,20 @@ def _splitters(rows: DataFrame, generate: Generate, buckets: int, total: int) ->
     return keys[order][np.minimum(at, len(keys) - 1)]
 
 
+REPEATED, DETAIL, PENDING, EDGE = range(4)
 _RESULT = (
-    "kind string, bucket int, core bigint, full bigint, doc bigint, key bigint, start bigint, count bigint, "
+    "kind tinyint, bucket int, core bigint, full bigint, doc bigint, key bigint, start bigint, count bigint, "
     "first_full bigint, last_full bigint, first_doc bigint, twice boolean"
 )
 
 
-def _compare(rows: pd.DataFrame, earlier: bool) -> pd.DataFrame:
+def _compare(rows: pa.Table, earlier: bool) -> pa.Table:
     """One bucket, sorted: what its neighbours within decide, and what waits for those in other buckets.
 
-    ``repeated`` entries are done; ``detail`` go to the next level; ``pending`` belong to the first or last
-    core; one ``edge`` row tells the other buckets of these.
+    REPEATED entries are done; DETAIL go to the next level; PENDING belong to the first or last
+    core; two EDGE rows, the first and the last entry, tell the other buckets of these.
     """
-    parts = [_unpack(b) for b in rows["blob"]]
+    parts = [_unpack(b.as_py()) for b in rows.column("blob")]
     core, full, doc, key, start, count = (np.concatenate(c) for c in zip(*parts))
     order = multikey_order(core, full, doc, start)
     core, full, doc, key, start, count = (a[order] for a in (core, full, doc, key, start, count))
@@ -195,30 +195,31 @@ def _compare(rows: pd.DataFrame, earlier: bool) -> pd.DataFrame:
     # One entry stands for a repeated run at the next level; with ``earlier``, those of the first document.
     leads = doc == first_doc if earlier else new_full
     pending = (core_run == 0) | (core_run == core_run[-1])
-    signed = lambda a: a.view(np.int64)
-    bucket = int(rows["bucket"].iloc[0])
+    signed = lambda a: np.ascontiguousarray(a).view(np.int64)
+    bucket = rows.column("bucket")[0].as_py()
 
-    def out(kind: str, at: np.ndarray, whole: bool) -> pd.DataFrame:
+    def out(kind: int, at: np.ndarray, whole: bool) -> pa.Table:
         m = len(at)
-        none = np.zeros(m, np.int64)
-        return pd.DataFrame({
-            "kind": kind, "bucket": bucket, "core": signed(core[at]) if whole else none, "full": signed(full[at]) if whole else none,
-            "doc": doc[at] if whole else none, "key": key[at], "start": start[at], "count": count[at],
-            "first_full": signed(first_full[at]) if whole else none, "last_full": signed(last_full[at]) if whole else none,
-            "first_doc": first_doc[at] if whole else none, "twice": twice[at] if whole else False,
-        })
-
-    edge = np.array([0, n - 1])
-    return pd.concat(
+        part = lambda a: signed(a[at]) if whole else np.zeros(m, np.int64)
+        columns = [
+            np.full(m, kind, np.int8), np.full(m, bucket, np.int32), part(core), part(full), part(doc), key[at], start[at], count[at],
+            part(first_full), part(last_full), part(first_doc), twice[at],
+        ]
+        return pa.table(dict(zip(_NAMES, map(pa.array, columns))))
+
+    return pa.concat_tables(
         [
-            out("repeated", np.flatnonzero(repeated & ~pending), False),
-            out("detail", np.flatnonzero(several & leads & ~pending), False),
-            out("pending", np.flatnonzero(pending), True),
-            out("edge", edge, True),
+            out(REPEATED, np.flatnonzero(repeated & ~pending), False),
+            out(DETAIL, np.flatnonzero(several & leads & ~pending), False),
+            out(PENDING, np.flatnonzero(pending), True),
+            out(EDGE, np.array([0, n - 1]), True),
         ]
     )
 
 
+_NAMES = [c.split()[0] for c in _RESULT.split(", ")]
+
+
 def _carried(edges: list) -> list[tuple]:
     """Per bucket: the core and full that end before it with their first full and document, and what follows it.
 
@@ -250,7 +251,7 @@ def _carried(edges: list) -> list[tuple]:
 
 
 def _level(rows: DataFrame, generate: Generate, earlier: bool, entries: int, total: int, purpose: str) -> DataFrame:
-    """``kind`` (repeated, detail), ``key, start, count`` for the entries of one level."""
+    """``kind`` (REPEATED or DETAIL), ``key, start, count`` for the entries of one level."""
     spark = rows.sparkSession
     splitters = _splitters(rows, generate, max(1, entries // BUCKET_ENTRIES), total)
 
@@ -279,12 +280,12 @@ def _level(rows: DataFrame, generate: Generate, earlier: bool, entries: int, tot
             yield flushed()
 
     packed = rows.mapInArrow(pack, "bucket int, blob binary")
-    compared = written(packed.groupBy("bucket").applyInPandas(lambda r: _compare(r, earlier), _RESULT), purpose)
-    edges = compared.where("kind = 'edge'").select("bucket", "core", "full", "first_full", "last_full", "first_doc", "start", "doc")
+    compared = written(packed.groupBy("bucket").applyInArrow(lambda r: _compare(r, earlier), _RESULT), purpose)
+    edges = compared.where(F.col("kind") == EDGE).select("bucket", "core", "full", "first_full", "last_full", "first_doc", "start", "doc")
     carried = _carried(_edge_order(edges.collect()))
     schema = "b int, p_core bigint, p_full bigint, p_first_full bigint, p_first_doc bigint, n_core bigint, n_full bigint, n_last_full bigint"
     around = spark.createDataFrame(carried, schema)
-    waiting = compared.where("kind = 'pending'").join(F.broadcast(around), F.col("bucket") == F.col("b"))
+    waiting = compared.where(F.col("kind") == PENDING).join(F.broadcast(around), F.col("bucket") == F.col("b"))
     before = F.coalesce(F.col("p_core") == F.col("core"), F.lit(False))
     beyond = F.coalesce(F.col("n_core") == F.col("core"), F.lit(False))
     before_full = before & F.coalesce(F.col("p_full") == F.col("full"), F.lit(False))
@@ -299,10 +300,10 @@ def _level(rows: DataFrame, generate: Generate, earlier: bool, entries: int, tot
         # Any entry of a run stands for it; all of an edge's run do, which adds true repeats only.
         repeated, leads = F.col("twice") | before_full | beyond_full, F.lit(True)
     late = waiting.select(
-        F.explode(F.array_compact(F.array(F.when(repeated, "repeated"), F.when(several & leads, "detail")))).alias("kind"),
+        F.explode(F.array_compact(F.array(F.when(repeated, REPEATED), F.when(several & leads, DETAIL)))).cast("tinyint").alias("kind"),
         "key", "start", "count",
     )
-    done = compared.where("kind in ('repeated', 'detail')").select("kind", "key", "start", "count")
+    done = compared.where(F.col("kind").isin(REPEATED, DETAIL)).select("kind", "key", "start", "count")
     return done.unionByName(late)
 
 
@@ -333,11 +334,11 @@ def repeated_windows(docs: DataFrame, levels: list[Generate], earlier: bool, per
     found, looked = None, rows
     for depth, generate in enumerate(levels):
         level = _level(looked, generate, earlier, entries, total, f"{purpose}_{depth}")
-        done = level.where("kind = 'repeated'").select("key", "start", "count")
+        done = level.where(F.col("kind") == REPEATED).select("key", "start", "count")
         found = done if found is None else found.unionByName(done)
         if depth + 1 < len(levels):
             # Rows alike in everything share a key: their ranges are the same and need one look each.
-            detail = level.where("kind = 'detail'").select("key", "start", "count").distinct()
+            detail = level.where(F.col("kind") == DETAIL).select("key", "start", "count").distinct()
             detail = detail.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "count"))).alias("ranges"))
             detail = written(detail, f"{purpose}_detail_{depth}")
             counted = detail.agg(F.count("*").alias("n"), F.sum(F.aggregate("ranges", F.lit(0).cast("bigint"), lambda a, r: a + r["count"]))).first()
