@@ -300,7 +300,7 @@ def _level(rows: DataFrame, generate: Generate, earlier: bool, entries: int, tot
         # Any entry of a run stands for it; all of an edge's run do, which adds true repeats only.
         repeated, leads = F.col("twice") | before_full | beyond_full, F.lit(True)
     late = waiting.select(
-        F.explode(F.array_compact(F.array(F.when(repeated, REPEATED), F.when(several & leads, DETAIL)))).cast("tinyint").alias("kind"),
+        F.explode(F.array_compact(F.array(F.when(repeated, REPEATED), F.when(several & leads, DETAIL))).cast("array<tinyint>")).alias("kind"),
         "key", "start", "count",
     )
     done = compared.where(F.col("kind").isin(REPEATED, DETAIL)).select("kind", "key", "start", "count")
