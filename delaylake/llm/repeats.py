@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import row_key, text_of, written
 
-BUCKET_ENTRIES = 100_000  # aimed at per bucket
+BUCKET_ENTRIES = 100_000  # aimed at per bucket,
+MOST_BUCKETS, MOST_ENTRIES = 50_000, 4_000_000  # more where that makes too many buckets, up to what a task may hold
 FLUSH_ENTRIES = 150_000  # a task packs its entries when it holds so many
-SAMPLE_PER_BUCKET, SAMPLE_PER_ROW = 60, 40
+SAMPLE_PER_BUCKET, SAMPLE_PER_ROW = 24, 24
 
 #: Entries of a text: core, full (uint64), start (int64), count (int64). Later levels get the ranges to look into.
 Entries = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -174,8 +175,9 @@ _RESULT = (
 def _compare(rows: pa.Table, earlier: bool) -> pa.Table:
     """One bucket, sorted: what its neighbours within decide, and what waits for those in other buckets.
 
-    REPEATED entries are done; DETAIL go to the next level; PENDING belong to the first or last
-    core; two EDGE rows, the first and the last entry, tell the other buckets of these.
+    REPEATED entries are done; DETAIL go to the next level; PENDING are those whose answer other buckets may
+    change: a few entries of the first and last core, however many entries share it. Two EDGE rows, the first and the
+    last entry, tell the other buckets of these.
     """
     parts = [_unpack(b.as_py()) for b in rows.column("blob")]
     core, full, doc, key, start, count = (np.concatenate(c) for c in zip(*parts))
@@ -194,7 +196,12 @@ def _compare(rows: pa.Table, earlier: bool) -> pa.Table:
     several = first_full != last_full
     # One entry stands for a repeated run at the next level; with ``earlier``, those of the first document.
     leads = doc == first_doc if earlier else new_full
-    pending = (core_run == 0) | (core_run == core_run[-1])
+    outer_core = (core_run == 0) | (core_run == core_run[-1])
+    if earlier:  # an earlier bucket may hold a smaller document for the first run
+        pending = (full_run == 0) & leads
+    else:  # a single entry at the border may have an equal one beyond it
+        pending = ((full_run == 0) | (full_run == full_run[-1])) & ~twice
+    pending |= outer_core & ~several & leads  # another bucket may hold another full of the core
     signed = lambda a: np.ascontiguousarray(a).view(np.int64)
     bucket = rows.column("bucket")[0].as_py()
 
@@ -209,8 +216,8 @@ def _compare(rows: pa.Table, earlier: bool) -> pa.Table:
 
     return pa.concat_tables(
         [
-            out(REPEATED, np.flatnonzero(repeated & ~pending), False),
-            out(DETAIL, np.flatnonzero(several & leads & ~pending), False),
+            out(REPEATED, np.flatnonzero(repeated), False),
+            out(DETAIL, np.flatnonzero(several & leads), False),
             out(PENDING, np.flatnonzero(pending), True),
             out(EDGE, np.array([0, n - 1]), True),
         ]
@@ -250,10 +257,14 @@ def _carried(edges: list) -> list[tuple]:
     return [(p[0]["bucket"], *(b or none4), *(a or none3)) for p, b, a in zip(pairs, before, after)]
 
 
+def _buckets(entries: int) -> int:
+    return max(1, entries // max(BUCKET_ENTRIES, min(MOST_ENTRIES, entries // MOST_BUCKETS)))
+
+
 def _level(rows: DataFrame, generate: Generate, earlier: bool, entries: int, total: int, purpose: str) -> DataFrame:
     """``kind`` (REPEATED or DETAIL), ``key, start, count`` for the entries of one level."""
     spark = rows.sparkSession
-    splitters = _splitters(rows, generate, max(1, entries // BUCKET_ENTRIES), total)
+    splitters = _splitters(rows, generate, _buckets(entries), total)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held()
@@ -297,7 +308,7 @@ def _level(rows: DataFrame, generate: Generate, earlier: bool, entries: int, tot
     if earlier:
         repeated, leads = F.col("doc") > first_doc, F.col("doc") == first_doc
     else:
-        # Any entry of a run stands for it; all of an edge's run do, which adds true repeats only.
+        # A run cut by borders may have one entry for it in each bucket, which adds true repeats only.
         repeated, leads = F.col("twice") | before_full | beyond_full, F.lit(True)
     late = waiting.select(
         F.explode(F.array_compact(F.array(F.when(repeated, REPEATED), F.when(several & leads, DETAIL))).cast("array<tinyint>")).alias("kind"),
