@@ -4,23 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...operators import latest_version
 from ...session import shared_folder
 from ...sinks.lake import Lake
 from ...sources.event_flights import event_flights
-from ...streaming import coverage_stream, dedupe_stream, file_stream, run_available, snapshot_stream
+from ...streaming import batch_folder, coverage_stream, dedupe_stream, file_stream, run_available, snapshot_stream
 from .base import over_flights, register, table
 
 
-def _event_stream(spark, sf_dir):
-    # The bracket makes the path a pattern, which may name a single file as well as a folder.
-    return file_stream(spark, f"{sf_dir}/events.[p]arquet", table(spark, sf_dir, "events").schema, "parquet")
+_FILES = 6
+
+
+def _event_stream(spark, sf_dir, max_files=None):
+    """The events as several landed files, so that a date and airport lie in more than one of them."""
+    events = table(spark, sf_dir, "events")
+    path = shared_folder(spark, "landing")
+    events.repartition(_FILES).write.parquet(path)
+    return file_stream(spark, path, events.schema, "parquet", max_files)
 
 
 @register(over_flights("""
 SELECT flight_id, status, k, CAST(date_photo AS VARCHAR) AS date_photo, origin_airport FROM flights
 """))
 def stream_ingest(spark, sf_dir):
-    """Landed files to a snapshot table."""
+    """Landed files, one per micro-batch, to a snapshot table."""
     lake = Lake.scratch(spark, "stream_ingest")
     lake.create(
         "raw",
@@ -30,11 +37,13 @@ def stream_ingest(spark, sf_dir):
     )
     snapshot_stream(
         lake,
-        _event_stream(spark, sf_dir),
+        _event_stream(spark, sf_dir, max_files=1),
         "raw",
         "event_flights",
         f"{lake.root}/checkpoint",
-        prepare=lambda batch: event_flights(batch).select("flight_id", "status", "k", "date_photo", "origin_airport"),
+        prepare=lambda batch: event_flights(batch).select(
+            "flight_id", "status", "k", "date_photo", "origin_airport"
+        ),
     )
     return lake.table("raw", "event_flights")
 
@@ -50,9 +59,12 @@ def stream_dedupe(spark, sf_dir):
     twice = once.unionByName(_event_stream(spark, sf_dir))
     single = dedupe_stream(twice, ["event_id"], "ts", "366 days").select("event_id", "event_type", "value")
     run_available(
-        single, lambda batch, _: batch.write.mode("append").parquet(f"{path}/rows"), f"{path}/checkpoint"
+        single,
+        lambda batch, i: batch.write.mode("overwrite").parquet(batch_folder(f"{path}/rows", i)),
+        f"{path}/checkpoint",
     )
-    return spark.read.schema("event_id bigint, event_type string, value double").parquet(f"{path}/rows")
+    rows = spark.read.schema("event_id bigint, event_type string, value double, batch_id bigint").parquet(f"{path}/rows")
+    return rows.drop("batch_id")
 
 
 @register(over_flights("""
@@ -66,7 +78,7 @@ SELECT time_bucket(INTERVAL 2 HOUR, execution_date, TIMESTAMP '1970-01-01') AS w
 FROM flights GROUP BY 1
 """))
 def stream_coverage(spark, sf_dir):
-    """Missing airports per two-hour window; the small window table is rewritten by every micro-batch."""
+    """Missing airports per two-hour window: every micro-batch writes the windows it changed, the newest counts."""
     path = shared_folder(spark, "stream_coverage")
     stream = event_flights(_event_stream(spark, sf_dir))
     coverage = coverage_stream(stream, "execution_date", "origin_airport", "2 hours").select(
@@ -74,8 +86,11 @@ def stream_coverage(spark, sf_dir):
     )
     run_available(
         coverage,
-        lambda batch, _: batch.write.mode("overwrite").parquet(f"{path}/windows"),
+        lambda batch, i: batch.write.mode("overwrite").parquet(batch_folder(f"{path}/windows", i)),
         f"{path}/checkpoint",
-        output_mode="complete",
+        output_mode="update",
+    )
+    windows = spark.read.schema("window_start timestamp, missing string, ready boolean, batch_id bigint").parquet(
+        f"{path}/windows"
     )
-    return spark.read.schema("window_start timestamp, missing string, ready boolean").parquet(f"{path}/windows")
+    return latest_version(windows, ["window_start"], "batch_id", []).drop("batch_id")

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..constants import EXPECTED_AIRPORTS, READINESS_HOURS
+from ..operators.joins import checked_broadcast
+from ..session import written
 from ..sinks.lake import Lake
 from ..sinks.snapshots import replace_snapshots
+from ..sources.files import load_if_present
 
 
 def file_stream(
@@ -47,6 +50,11 @@ def run_available(
     return query
 
 
+def batch_folder(path: str, batch_id: int) -> str:
+    """Where a micro-batch writes; a replayed one overwrites its own rows and adds none."""
+    return f"{path.rstrip('/')}/batch_id={batch_id}"
+
+
 def snapshot_stream(
     lake: Lake,
     stream: DataFrame,
@@ -56,18 +64,63 @@ def snapshot_stream(
     mode: str = "raw",
     airport_column: str = "origin_airport",
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    poll: Column | None = None,
 ) -> StreamingQuery:
-    """Snapshot replacement per micro-batch, one write for all its snapshot dates.
+    """Snapshots from files that land, whole however their files fall into micro-batches.
 
-    The source re-sends a day in full, so a later micro-batch replaces what an earlier one loaded for
-    the same day and airport. A replayed micro-batch replaces its own partitions: a restart changes
-    nothing.
+    Micro-batches only land their rows, each in a folder of its own that a replay overwrites. When everything available
+    has landed, the snapshots touched are published in one write: of each date and airport all rows of its newest
+    poll. ``poll``, over the prepared rows, tells rows of one delivery from those of another, the larger text being
+    the newer, and then a delivery may also be spread over several runs. Without it a run is a poll: files of
+    one delivery have to land before the run starts.
+
+    A run that ends between landing and publishing leaves its rows to the next one.
     """
+    landed = f"{checkpoint.rstrip('/')}-landed"
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        replace_snapshots(lake, prepare(batch), layer, table, mode, airport_column)
+    def land(batch: DataFrame, batch_id: int) -> None:
+        rows = prepare(batch).withColumn("date_photo", F.col("date_photo").cast("date"))
+        rows = rows.withColumn(_POLL, (F.lit(None) if poll is None else poll).cast("string"))
+        rows.write.mode("overwrite").parquet(batch_folder(f"{landed}/rows", batch_id))
 
-    return run_available(stream, load, checkpoint)
+    query = run_available(stream, land, checkpoint)
+    _publish_landed(lake, landed, layer, table, mode, airport_column)
+    return query
+
+
+_POLL = "poll_id"
+
+
+def _publish_landed(lake: Lake, landed: str, layer: str, table: str, mode: str, airport_column: str) -> None:
+    spark = lake.spark
+    rows = load_if_present(lambda: spark.read.parquet(f"{landed}/rows"))
+    if rows is None:
+        return
+    marker = load_if_present(lambda: spark.read.parquet(f"{landed}/published"))
+    done = -1 if marker is None else marker.first()[0]
+    new = rows.filter(F.col("batch_id") > done)
+    # One row per date and airport: bounded by partitions, not by rows.
+    touched = written(new.groupBy("date_photo", airport_column).agg(F.max("batch_id").alias("upto")), "touched")
+    upto = touched.agg(F.max("upto")).first()[0]
+    if upto is None:
+        return
+    days = [r[0] for r in touched.select("date_photo").distinct().collect()]
+    # Without polls, what has been published before is a poll of its own that new rows replace.
+    versioned = rows.withColumn("version", F.col(_POLL))
+    known = F.col("date_photo").isin([d for d in days if d is not None])
+    live = versioned.filter((F.col(_POLL).isNotNull() & known) | (F.col("batch_id") > done))
+    newest = live.groupBy("date_photo", airport_column).agg(F.max("version").alias("newest"))
+    newest = newest.join(touched.select("date_photo", airport_column), ["date_photo", airport_column], "left_semi")
+    newest = checked_broadcast(written(newest.withColumnsRenamed({"date_photo": "n_date", airport_column: "n_airport"}), "newest_polls"))
+    whole = live.join(
+        newest,
+        F.col("date_photo").eqNullSafe(F.col("n_date"))
+        & F.col(airport_column).eqNullSafe(F.col("n_airport"))
+        & F.col("version").eqNullSafe(F.col("newest")),
+        "left_semi",
+    )
+    replace_snapshots(lake, whole.drop("version", "batch_id", _POLL), layer, table, mode, airport_column)
+    spark.range(1).select(F.lit(upto).cast("bigint").alias("batch_id")).write.mode("overwrite").parquet(f"{landed}/published")
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_time: str, late_by: str) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from delaylake.streaming import coverage_stream, dedupe_stream, file_stream, run_available, snapshot_stream
+from delaylake.streaming import batch_folder, coverage_stream, dedupe_stream, file_stream, run_available, snapshot_stream
 
 DDL = "flight_id string, date_photo date, origin_airport string"
 D = dt.date(2026, 3, 7)
@@ -39,6 +39,46 @@ def test_snapshots_follow_the_files(spark, lake, tmp_path):
     assert lake.watermark("raw", "t") == NEXT
 
 
+def test_a_snapshot_over_many_batches_stays_whole(spark, lake, tmp_path):
+    ddl = DDL + ", load string"
+    landing, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
+    lake.create("raw", "t", DDL, ("date_photo", "origin_airport"))
+
+    def run(poll):
+        stream = file_stream(spark, str(landing), ddl, max_files=1)
+        snapshot_stream(lake, stream, "raw", "t", checkpoint, poll=poll)
+        return rows_of(lake.table("raw", "t").select("flight_id"))
+
+    for part in range(4):
+        land(spark, landing, [(f"p1-{part}-{i}", D, "NCE", "1") for i in range(5)], ddl)
+    land(spark, landing, [("other", D, "LYS", "1")], ddl)
+    first = [("other",)] + [(f"p1-{p}-{i}",) for p in range(4) for i in range(5)]
+    assert run(F.col("load")) == first
+    # A second delivery, spread over two runs, replaces the first; a late file of the first changes nothing.
+    land(spark, landing, [("p2-a", D, "NCE", "2")], ddl)
+    land(spark, landing, [("late", D, "NCE", "1")], ddl)
+    assert run(F.col("load")) == [("other",), ("p2-a",)]
+    land(spark, landing, [("p2-b", D, "NCE", "2")], ddl)
+    assert run(F.col("load")) == [("other",), ("p2-a",), ("p2-b",)]
+
+
+def test_a_replayed_batch_adds_nothing(spark, lake, tmp_path):
+    import shutil
+
+    landing, checkpoint = tmp_path / "landing", tmp_path / "checkpoint"
+    lake.create("raw", "t", DDL, ("date_photo", "origin_airport"))
+    land(spark, landing, [("a", D, "NCE"), ("b", D, "NCE")], DDL)
+
+    def run():
+        snapshot_stream(lake, file_stream(spark, str(landing), DDL), "raw", "t", str(checkpoint))
+        return rows_of(lake.table("raw", "t").select("flight_id"))
+
+    assert run() == [("a",), ("b",)]
+    shutil.rmtree(checkpoint / "commits")  # as after a crash between a batch's write and its commit
+    shutil.rmtree(tmp_path / "checkpoint-landed" / "published")
+    assert run() == [("a",), ("b",)]
+
+
 def test_dedupe_keeps_one_row_per_key_across_runs(spark, tmp_path):
     ddl = "k string, v int, ts timestamp"
     t = dt.datetime(2026, 3, 7, 6)
@@ -46,8 +86,9 @@ def test_dedupe_keeps_one_row_per_key_across_runs(spark, tmp_path):
 
     def run():
         stream = dedupe_stream(file_stream(spark, str(landing), ddl), ["k"], "ts", "1 hour").select("k")
-        run_available(stream, lambda b, _: b.write.mode("append").parquet(out), str(tmp_path / "checkpoint"))
-        return rows_of(spark.read.schema("k string").parquet(out))
+        write = lambda b, i: b.write.mode("overwrite").parquet(batch_folder(out, i))
+        run_available(stream, write, str(tmp_path / "checkpoint"))
+        return rows_of(spark.read.schema("k string, batch_id int").parquet(out).drop("batch_id"))
 
     land(spark, landing, [("a", 1, t), ("a", 2, t), ("b", 1, t)], ddl)
     assert run() == [("a",), ("b",)]
