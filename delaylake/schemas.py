@@ -52,7 +52,6 @@ WEATHER_METRICS = (
     "weather_code",
 )
 
-SNAPSHOT_COLUMNS = ("date_photo", "semaine_photo", "annee_photo", "execution_date", "instance_id", "dag_id")
 
 SNAPSHOT_DDL = (
     "semaine_photo int, annee_photo int, execution_date timestamp, instance_id string, dag_id string, date_photo date"
@@ -151,8 +150,8 @@ PREDICTIONS = """
     predicted_delay_minutes double, regression_model_name string, regression_model_version string,
     flight_date date"""
 
-WORKFLOW_RUNS = "conclusion string, created_at string, updated_at string"
 WATERMARKS = "date_photo date, layer string, table_name string"
+QUARANTINE = "reason string, content string, load_table string, date_photo date"
 MODEL_REGISTRY = "version int, stage string, metric double, model_path string, tags map<string,string>, name string"
 ML_RUNS = """run_id string, model string, params map<string,string>, metrics map<string,double>,
     logged_at timestamp, experiment string"""

@@ -48,23 +48,56 @@ def local_session(cores: int | str = 8, memory: str = "8g", warehouse: str | Non
     return configure(spark)
 
 
+SCRATCH_SETTING = "spark.delaylake.scratch.dir"  # runtime setting; before spark.checkpoint.dir, which is fixed at start
+
+_made: list[str] = []  # scratch folders of this process
+_databases: list[str] = []  # and the prefixes of scratch databases
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="delaylake-")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies in; nothing happens when it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def note_databases(prefix: str) -> None:
+    """Databases whose names start so belong to a scratch lake."""
+    _databases.append(prefix)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove what this process has written as scratch: folders, and databases of scratch lakes.
+
+    Frames that read from there cannot be used afterwards.
+    """
+    for row in spark.sql("SHOW DATABASES").collect():
+        if _databases and row[0].startswith(tuple(_databases)):
+            spark.sql(f"DROP DATABASE IF EXISTS `{row[0]}` CASCADE")
+    for path in _made:
+        remove_folder(spark, path)
+    _databases.clear()
+    _made.clear()
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
     Executors on other machines have to see what is written here, so a local temporary folder is
     accepted only when the whole session runs on one machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get(SCRATCH_SETTING, None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
         root = _local_folder()
-    return f"{root.rstrip('/')}/delaylake/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/delaylake/{purpose}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

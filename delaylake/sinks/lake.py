@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 from urllib.parse import unquote
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..session import configure, shared_folder
+from ..session import configure, note_databases, remove_folder, shared_folder
 
 LAYERS = ("raw", "staging", "analytics", "ml", "ref", "ops")
 
@@ -35,9 +36,15 @@ TABLES = {
     ("ref", "iata_delay_codes"): (schemas.IATA_DELAY_CODES, ()),
     ("ref", "weather_codes"): (schemas.WEATHER_CODES, ()),
     ("ops", "watermarks"): (schemas.WATERMARKS, ("layer", "table_name")),
+    ("ops", "quarantine"): (schemas.QUARANTINE, ("load_table", "date_photo")),
 }
 
 
+def _literal(value) -> str:
+    """A partition value or path as SQL text; Spark casts it to the partition column's type."""
+    return "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class Lake:
     """Names and creates the tables; ``namespace`` keeps several lakes apart in one catalog."""
 
@@ -52,7 +59,9 @@ class Lake:
     def scratch(cls, spark: SparkSession, purpose: str) -> Lake:
         """A lake of its own in the shared folder of the cluster."""
         root = shared_folder(spark, purpose)
-        return cls(spark, root, namespace=f"{root.rsplit('/', 1)[-1].replace('-', '_')}_")
+        namespace = f"{root.rsplit('/', 1)[-1].replace('-', '_')}_"
+        note_databases(namespace)
+        return cls(spark, root, namespace)
 
     def name(self, layer: str, table: str) -> str:
         return f"`{self.namespace}{layer}`.`{table}`"
@@ -88,11 +97,8 @@ class Lake:
         if not specs:
             return
 
-        def literal(value: str) -> str:
-            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
         clauses = ", ".join(
-            "PARTITION (" + ", ".join(f"`{k}` = {literal(v)}" for k, v in spec.items()) + ")" for spec in specs
+            "PARTITION (" + ", ".join(f"`{k}` = {_literal(v)}" for k, v in spec.items()) + ")" for spec in specs
         )
         self.spark.sql(f"ALTER TABLE {self.name(layer, table)} DROP IF EXISTS {clauses}")
 
@@ -100,7 +106,8 @@ class Lake:
         """Overwrite exactly the partitions ``df`` holds rows of.
 
         Rebalancing by partition column gives few files per partition and lets AQE cut a hot partition
-        into several tasks. Reading the same table in ``df`` is safe: files move in after the job.
+        into several tasks. For rows that can be had again, such as a landed batch; ``swap_partitions`` is for
+        frames that read the partitions they replace.
         """
         name = self.name(layer, table)
         target = self.spark.table(name)
@@ -112,6 +119,47 @@ class Lake:
         # A streaming batch writes from a session of its own; this one has to list the files again.
         self.spark.catalog.refreshTable(name)
 
+    def swap_partitions(self, layer: str, table: str, df: DataFrame) -> None:
+        """Replace the partitions ``df`` holds rows of, without a moment in which rows exist nowhere.
+
+        The new partitions are written whole into a folder of their own; then the catalog is pointed to them, one
+        partition after the other, and only then the old folders go. A failure on the way leaves each partition
+        either old or new, and running again completes it.
+        """
+        name = self.name(layer, table)
+        target = self.spark.table(name)
+        keys = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
+        if not keys:
+            raise ValueError(f"{name} has no partitions to swap")
+        df = df.select([F.col(f.name).cast(f.dataType) for f in target.schema.fields]).hint("rebalance", *keys)
+        version = f"{self.root}/versions/{layer}.{table}/{uuid.uuid4().hex}"
+        df.write.partitionBy(*keys).parquet(version)
+        # One row per partition: its values and its folder.
+        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("__folder")
+        written = self.spark.read.schema(target.schema).parquet(version).select(*keys, folder).distinct().collect()
+        known = {tuple(p[k] for k in keys) for p in self.partitions(layer, table)}
+        old = []
+        for row in written:
+            spec = ", ".join(f"`{k}` = {_literal(row[k])}" for k in keys)
+            there = tuple("__HIVE_DEFAULT_PARTITION__" if row[k] is None else str(row[k]) for k in keys)
+            if there in known:
+                old.append(self._location(name, spec))
+            self._point(name, spec, unquote(row["__folder"]), there in known)
+        self.spark.catalog.refreshTable(name)
+        for path in old:
+            remove_folder(self.spark, path)
+
+    def _location(self, name: str, spec: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").collect()
+        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+    def _point(self, name: str, spec: str, path: str, known: bool) -> None:
+        """Let a partition of the catalog stand for the files in a folder."""
+        if known:
+            self.spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {_literal(path)}")
+        else:
+            self.spark.sql(f"ALTER TABLE {name} ADD PARTITION ({spec}) LOCATION {_literal(path)}")
+
     def watermark(self, layer: str, table: str) -> dt.date | None:
         """Snapshot date loaded last; each (layer, table) has its own."""
         if not self.exists("ops", "watermarks"):

@@ -60,9 +60,12 @@ def snapshot_replace(
     mode: str = "raw",
     airport_column: str | None = "origin_airport",
     date_photo: dt.date | None = None,
+    null_alarm: float | None = None,
 ) -> int:
     """Replace a snapshot and advance the watermark; returns the rows loaded.
 
+    Columns with more than ``null_alarm`` percent of NULL are logged as a warning; the write counts them.
+
     The table is partitioned by (date_photo, airport), or by date_photo alone with
     ``airport_column=None``. Mode ``raw`` replaces the batch's own date for the batch's airports; mode
     ``scheduled`` also removes their earlier dates. Both work on whole partitions only. An empty batch
@@ -78,7 +81,7 @@ def snapshot_replace(
             logger.info("empty batch for %s.%s", layer, table)
             return 0
     checked = checked_batch(batch, date_photo, airport_column)
-    return _publish(lake, checked, layer, table, mode, airport_column)
+    return _publish(lake, checked, layer, table, mode, airport_column, null_alarm)
 
 
 def replace_snapshots(
@@ -107,19 +110,27 @@ def replace_snapshots(
     return _publish(lake, batch, layer, table, mode, airport_column)
 
 
-def _publish(lake: Lake, batch: DataFrame, layer: str, table: str, mode: str, airport_column: str | None) -> int:
+def _publish(
+    lake: Lake, batch: DataFrame, layer: str, table: str, mode: str, airport_column: str | None, null_alarm: float | None = None
+) -> int:
     lake.create(layer, table)
     metrics = [F.count(F.lit(1)).alias("rows"), F.max("date_photo").cast("string").alias("newest")]
-    if airport_column:
+    if airport_column and mode == "scheduled":
         # One value per airport and date: bounded by partitions, not by rows.
         metrics.append(
             F.collect_set(F.concat_ws("|", F.col("date_photo").cast("string"), airport_column)).alias("snapshots")
         )
+    checked = batch.columns if null_alarm is not None else []
+    metrics += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(checked)]
     observation = Observation(f"load {layer}.{table}")
     lake.replace_partitions(layer, table, batch.observe(observation, *metrics))
     seen = observed(observation, batch, metrics)
     if seen["rows"] == 0:
         return 0
+    for i, c in enumerate(checked):
+        percent = round(100 * seen[f"nulls_{i}"] / seen["rows"], 2)
+        if percent > null_alarm:
+            logger.warning("%s.%s: %s is NULL in %s %% of %s rows", layer, table, c, percent, seen["rows"])
     if mode == "scheduled":
         newest = {a: d for d, a in (s.split("|", 1) for s in seen["snapshots"])} if airport_column else {}
         limit = (lambda spec: newest.get(spec[airport_column], "")) if airport_column else (lambda spec: seen["newest"])

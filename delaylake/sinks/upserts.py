@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..constants import PREDICTION_KEY, PREDICTION_UPDATED_COLUMNS
 from ..operators.quality import observed
 from ..operators.reconcile import apply_minutes, reconcile
+from ..session import written
 from .lake import Lake
 
 
@@ -69,12 +70,16 @@ def _touched(target: DataFrame, partition: str, values: list) -> DataFrame:
 
 
 def upsert_predictions_table(lake: Lake, batch: DataFrame, order_by: Sequence[Column | str]) -> None:
-    """Merge scored flights into the predictions table, rewriting only the batch's flight dates."""
+    """Merge scored flights into the predictions table, rewriting only the batch's flight dates.
+
+    The batch is computed once: its days, its keyed and its other rows all come from one copy.
+    """
     lake.create("ml", "flight_predictions")
+    batch = written(batch, "upsert_batch")
     # One value per calendar day of the batch, as literals for partition pruning.
     days = [row[0] for row in batch.select("flight_date").distinct().collect()]
     target = _touched(lake.table("ml", "flight_predictions"), "flight_date", days)
-    lake.replace_partitions("ml", "flight_predictions", merge_predictions(target, batch, order_by))
+    lake.swap_partitions("ml", "flight_predictions", merge_predictions(target, batch, order_by))
 
 
 def update_minutes_table(
@@ -92,7 +97,7 @@ def update_minutes_table(
     observation = Observation("update minutes")
     updated = apply_minutes(target, scores, model_name, model_version, order_by, flag="updated")
     count = F.count_if("updated").alias("rows")
-    lake.replace_partitions("ml", "flight_predictions", updated.observe(observation, count).drop("updated"))
+    lake.swap_partitions("ml", "flight_predictions", updated.observe(observation, count).drop("updated"))
     return observed(observation, updated, [count])["rows"]
 
 
@@ -101,15 +106,26 @@ def reconcile_table(
     predictions: DataFrame,
     table: str = "raw_flights",
     date_photos: Iterable[dt.date] | None = None,
+    flight_dates: Iterable[dt.date] | None = None,
 ) -> int:
     """Fill ``is_delayed_predicted`` in the analytics table; returns rows matched.
 
     A narrow pass over key columns finds the snapshot dates with a label to change; only those are
-    rewritten. ``date_photos`` limits it to those snapshots.
+    rewritten. ``date_photos`` limits it to those snapshots, ``flight_dates`` to flights and predictions of
+    those days: the prediction table is pruned to them, and the analytics table to snapshots that are not
+    older than the first.
     """
-    target = lake.table("analytics", table)
+    stored = lake.table("analytics", table)
+    target = stored
     if date_photos is not None:
         target = target.filter(F.col("date_photo").isin(list(date_photos)))
+    if flight_dates is not None:
+        days = sorted(flight_dates)
+        if not days:
+            return 0
+        first = F.lit(days[0].isoformat()).cast("date")
+        target = target.filter(F.col("date").isin(days) & (F.col("date_photo") >= first))
+        predictions = predictions.filter(F.col("flight_date").isin(days))
     old = F.col("is_delayed_predicted")
     narrow = target.select(
         "flight_number", "date", "origin_airport", "date_photo", "is_delayed_predicted", old.alias("old")
@@ -123,6 +139,5 @@ def reconcile_table(
     )
     changed = [r["date_photo"] for r in found if r["changed"]]
     if changed:
-        days = _touched(target, "date_photo", changed)
-        lake.replace_partitions("analytics", table, reconcile(days, predictions))
+        lake.swap_partitions("analytics", table, reconcile(_touched(stored, "date_photo", changed), predictions))
     return sum(r["matched"] for r in found)

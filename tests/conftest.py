@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from delaylake.session import local_session  # noqa: E402
+from delaylake.session import local_session, release_scratch  # noqa: E402
 from delaylake.sinks.lake import Lake  # noqa: E402
 
 
@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
     session = local_session(4, memory="4g", warehouse=str(tmp_path_factory.mktemp("warehouse")))
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
+    release_scratch(session)
     session.stop()
 
 
