@@ -12,15 +12,6 @@ AIRPORT_CITIES = {
 HUB_AIRPORT = "CDG"
 EXPECTED_AIRPORTS = ("NCE", "LYS", "MRS", "TLS", "BOD")
 
-# Coordinates the weather source is polled for.
-AIRPORT_COORDINATES = {
-    "MRS": (43.3333, 5.5),
-    "LYS": (45.7256, 5.0811),
-    "NCE": (43.6584, 7.2159),
-    "TLS": (43.6293, 1.3638),
-    "BOD": (44.8283, -0.7156),
-}
-
 # Carrier and movement filter of the flight source.
 CARRIER = "AF"
 

@@ -11,8 +11,6 @@ from ..constants import SEED, TEST_SHARE
 from ..operators.joins import checked_broadcast
 from ..session import written
 
-_BUCKETS = 65536
-
 
 def with_split(
     df: DataFrame,

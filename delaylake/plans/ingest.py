@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.columns import add_snapshot_columns
+from ..operators.quality import observed
 from ..sinks.lake import Lake
 from ..sinks.snapshots import snapshot_replace
 from ..sinks.tables import load_table
@@ -15,31 +17,59 @@ from ..sources.documents import flatten_flights, flatten_weather
 from ..sources.files import read_reference_codes
 from ..sources.windows import on_route, reference_day
 
+logger = logging.getLogger(__name__)
+
 _TABLE_OF_MODE = {"raw": "raw_{}", "scheduled": "scheduled_{}"}
 
 
 def load_flights(
     lake: Lake, documents: DataFrame, mode: str, logical_date: dt.datetime, dag_id: str, run_id: str
 ) -> int:
-    """Flight documents of all airports to the raw layer in one job; returns rows loaded."""
-    day = reference_day(logical_date.date(), mode)
-    flights = on_route(flatten_flights(documents)).filter(F.col("date").try_cast("date") == F.lit(day))
-    batch = add_snapshot_columns(flights, dag_id, run_id, logical_date)
-    return snapshot_replace(
-        lake, batch, "raw", _TABLE_OF_MODE[mode].format("flights"), mode, "origin_airport", logical_date.date()
-    )
+    """Flight documents of all airports to the raw layer in one job; returns rows loaded.
+
+    Loaded are flights scheduled within the reference day; ``_load`` tells what becomes of others.
+    """
+    flights = add_snapshot_columns(on_route(flatten_flights(documents)), dag_id, run_id, logical_date)
+    return _load(lake, flights, "flights", mode, "origin_airport", logical_date)
 
 
 def load_weather(
     lake: Lake, documents: DataFrame, mode: str, logical_date: dt.datetime, dag_id: str, run_id: str
 ) -> int:
     """Weather documents of all airports to the raw layer in one job; returns rows loaded."""
-    day = reference_day(logical_date.date(), mode)
-    weather = flatten_weather(documents).filter(F.col("date").try_cast("date") == F.lit(day))
-    batch = add_snapshot_columns(weather, dag_id, run_id, logical_date)
-    return snapshot_replace(
-        lake, batch, "raw", _TABLE_OF_MODE[mode].format("weather"), mode, "airport_iata", logical_date.date()
-    )
+    weather = add_snapshot_columns(flatten_weather(documents), dag_id, run_id, logical_date)
+    return _load(lake, weather, "weather", mode, "airport_iata", logical_date)
+
+
+def _load(
+    lake: Lake, rows: DataFrame, kind: str, mode: str, airport_column: str, logical_date: dt.datetime
+) -> int:
+    """Rows of the reference day to their table; the load counts the rest, and keeps them in ``ops.quarantine``.
+
+    A row whose date cannot be read, or is of another day, does not vanish: its text goes to the quarantine
+    partition of this table and snapshot, which a repeated load replaces.
+    """
+    table = _TABLE_OF_MODE[mode].format(kind)
+    day = F.lit(reference_day(logical_date.date(), mode).isoformat()).cast("date")
+    date = F.col("date").try_cast("date")
+    wanted = F.coalesce(date == day, F.lit(False))
+    counts = [F.count_if(date.isNull()).alias("unreadable"), F.count_if(date != day).alias("other_day")]
+    observation = Observation(f"dates of {table}")
+    batch = rows.observe(observation, *counts).filter(wanted)
+    loaded = snapshot_replace(lake, batch, "raw", table, mode, airport_column, logical_date.date())
+    seen = observed(observation, rows, counts)
+    if seen["unreadable"] or seen["other_day"]:
+        logger.warning("%s: %s rows without a readable date, %s of another day", table, seen["unreadable"], seen["other_day"])
+        lake.create("ops", "quarantine")
+        reason = F.when(date.isNull(), "unreadable date").otherwise("another day")
+        rejected = rows.filter(~wanted).select(
+            reason.alias("reason"),
+            F.to_json(F.struct(*[c for c in rows.columns if c != "date_photo"])).alias("content"),
+            F.lit(f"raw.{table}").alias("load_table"),
+            F.lit(logical_date.date().isoformat()).cast("date").alias("date_photo"),
+        )
+        lake.replace_partitions("ops", "quarantine", rejected)
+    return loaded
 
 
 def import_reference_codes(lake: Lake, iata_csv: str, weather_csv: str) -> None:

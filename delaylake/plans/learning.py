@@ -9,7 +9,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..constants import (
     CLASSIFIER_CATEGORICAL,
@@ -25,8 +24,10 @@ from ..learning.registry import production_version, promote, register, tag_versi
 from ..learning.scoring import minutes_scores, prediction_rows, score
 from ..learning.training import Fitted, run_rows, train_classifiers, train_regressors
 from ..operators.kpis import prediction_mix
+from ..session import written
 from ..sinks.lake import Lake
 from ..sinks.upserts import update_minutes_table, upsert_predictions_table
+from .staging import require_ready
 
 logger = logging.getLogger(__name__)
 
@@ -59,7 +60,7 @@ def _publish(
         logger.warning("%s: %s does not pass %s, not registered", registry_name, best.metrics[metric], threshold)
         return None
     best.model.write().overwrite().save(path)
-    lake.replace_partitions("ml", "model_registry", decided)
+    lake.swap_partitions("ml", "model_registry", decided)
     return stage
 
 
@@ -85,8 +86,15 @@ def train_minutes_regressor(lake: Lake, estimators: Mapping[str, Estimator] | No
     return _publish(lake, fitted, best, REGRESSOR_REGISTRY, "mae", MAE_STAGING_MAX, "min")
 
 
-def predict_delays(lake: Lake, run_id: str, prediction_date: Column | None = None) -> DataFrame:
-    """Score the scheduled flights, upsert the predictions, return their mix."""
+def predict_delays(
+    lake: Lake, run_id: str, prediction_date: Column | None = None, gate: bool = True, as_of: Column | None = None
+) -> DataFrame:
+    """Score the scheduled flights, upsert the predictions, return their mix.
+
+    With ``gate`` every airport has to have arrived before ``as_of`` (default: now).
+    """
+    if gate:
+        require_ready(lake, [("analytics", "scheduled_flights")], as_of)
     champion = production_version(lake.table("ml", "model_registry"), CLASSIFIER_REGISTRY)
     if champion is None:
         raise LookupError(f"no production version of {CLASSIFIER_REGISTRY}")
@@ -95,12 +103,10 @@ def predict_delays(lake: Lake, run_id: str, prediction_date: Column | None = Non
     rows = prediction_rows(
         scored, run_id, champion["tags"]["model_type"], str(champion["version"]), prediction_date, _LOAD_ORDER
     )
-    # Scored once for the table and the mix.
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = written(rows, "predictions")  # scored once for the table and the mix
     upsert_predictions_table(lake, rows, _LOAD_ORDER)
     mix = prediction_mix(rows)
     mix = lake.spark.createDataFrame(mix.collect(), mix.schema)
-    rows.unpersist()
     _log_scoring(lake, run_id, champion, mix)
     return mix
 
@@ -128,7 +134,7 @@ def _log_scoring(lake: Lake, run_id: str, champion: dict, mix: DataFrame) -> Non
         "last_pct_delayed": str(counts["pct_delayed"]),
     }
     registry = lake.table("ml", "model_registry").filter(F.col("name") == champion["name"])
-    lake.replace_partitions("ml", "model_registry", tag_version(registry, champion["version"], tags))
+    lake.swap_partitions("ml", "model_registry", tag_version(registry, champion["version"], tags))
 
 
 def predict_minutes(lake: Lake, flight_date: dt.date) -> int:

@@ -44,7 +44,6 @@ from ...operators import (
     union_by_name,
 )
 from ...operators.enrich import add_flight_features
-from ...session import shared_folder
 from ...sources.windows import in_reference_day, on_route
 from .base import flights, over_flights, register, table
 
@@ -288,15 +287,15 @@ FROM (VALUES ('NCE'), ('LYS'), ('MRS'), ('TLS'), ('BOD')) e(airport)
 CROSS JOIN (VALUES ('flights'), ('landed')) t(table_name)
 WHERE (t.table_name, e.airport) NOT IN (
   SELECT 'flights', origin_airport FROM flights
-  WHERE execution_date >= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
+  WHERE event_id % 5 <> 3 AND execution_date >= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
   UNION ALL
   SELECT 'landed', origin_airport FROM flights
   WHERE status = 'ARRIVED' AND execution_date >= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR)
 """))
 def readiness_gate(spark, sf_dir):
     """Airports missing in the last two hours, per table."""
-    rows = flights(spark, sf_dir)
-    landed = rows.filter(F.col("status") == "ARRIVED")
+    landed = flights(spark, sf_dir).filter(F.col("status") == "ARRIVED")
+    rows = flights(spark, sf_dir).filter("event_id % 5 <> 3")  # one airport has sent nothing
     return readiness(
         {"flights": (rows, "origin_airport"), "landed": (landed, "origin_airport")},
         as_of=_newest_event(spark, sf_dir),
@@ -305,12 +304,11 @@ def readiness_gate(spark, sf_dir):
 
 @register(over_flights("""
 SELECT a AS origin_airport FROM (VALUES ('NCE'), ('LYS'), ('MRS'), ('TLS'), ('BOD')) e(a)
-WHERE a NOT IN (SELECT origin_airport FROM flights WHERE k = 13 AND status = 'CANCELLED' AND value > 60)
+WHERE a NOT IN (SELECT origin_airport FROM flights WHERE event_id % 5 <> 3)
 """))
 def missing_airports(spark, sf_dir):
-    """Expected airports without a matching flight."""
-    rows = flights(spark, sf_dir).filter("k = 13 AND status = 'CANCELLED' AND value > 60")
-    return missing_values(rows, "origin_airport")
+    """Expected airports without a flight; one has sent nothing."""
+    return missing_values(flights(spark, sf_dir).filter("event_id % 5 <> 3"), "origin_airport")
 
 
 @register(over_flights("SELECT DISTINCT origin_airport, type_code FROM flights"))
@@ -391,10 +389,10 @@ SELECT 'before' AS stage, count(*) AS row_count FROM lineitem
 UNION ALL SELECT 'after', count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
 """)
 def stage_counts(spark, sf_dir):
-    """Rows before and after a dedupe, counted while it is written."""
+    """Rows before and after a dedupe, counted while it is written; this sink keeps nothing."""
     lines, before = count_stage(table(spark, sf_dir, "lineitem"), "before")
     single, after = count_stage(drop_duplicates(lines, _LINE_KEY, _LINE_ORDER), "after")
-    single.write.parquet(shared_folder(spark, "stage_counts"))
+    single.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame(
         [("before", before.get["rows"]), ("after", after.get["rows"])], "stage string, row_count bigint"
     )

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ...operators import (
-    RowFunction,
+    BatchFunction,
     add_flight_features,
     add_snapshot_columns,
     apply_columns,
@@ -194,16 +194,17 @@ SELECT flight_id, CASE WHEN k >= 50 THEN 'high-' || (k - 50) ELSE 'low-' || k EN
 FROM flights
 """))
 def row_function(spark, sf_dir):
-    """A Python row function next to a built-in column; the second rule sees the first."""
+    """A Python function of whole columns next to a built-in column; the second rule sees the first."""
 
-    def band(row, pivot, step=0):
-        return f"high-{row['k'] - pivot}" if row["k"] >= pivot else f"low-{row['k'] + step}"
+    def band(rows, pivot, step=0):
+        high = "high-" + (rows["k"] - pivot).astype(str)
+        return high.where(rows["k"] >= pivot, "low-" + (rows["k"] + step).astype(str))
 
     rows = flights(spark, sf_dir).select("flight_id", "k")
     return apply_columns(
         rows,
         {
-            "band": RowFunction(band, "string", args=(50,), kwargs={"step": 0}),
+            "band": BatchFunction(band, "string", args=(50,), kwargs={"step": 0}),
             "shifted": lambda df: F.col("k") + 7,
             "ignored": "not a rule",
         },

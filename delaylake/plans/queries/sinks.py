@@ -226,7 +226,7 @@ def csv_texts(spark, sf_dir):
     path = shared_folder(spark, "csv_texts")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     documents.write.csv(path, header=True, quote='"', escape='"', quoteAll=True)
-    return read_csv(spark, path, "doc_id bigint, text string, lang string")
+    return read_csv(spark, path, "doc_id bigint, text string, lang string", multi_line=True)
 
 
 @register("SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, -o_totalprice FROM orders")

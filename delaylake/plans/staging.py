@@ -31,6 +31,17 @@ def cycle_ready(lake: Lake, tables: list[tuple[str, str]], as_of: Column | None
     )
 
 
+class NotReady(RuntimeError):
+    """An expected airport is missing in the freshness window."""
+
+
+def require_ready(lake: Lake, tables: list[tuple[str, str]], as_of: Column | None = None) -> None:
+    """Refuse to go on with an incomplete cycle; at most one row per table and expected airport reaches the driver."""
+    missing = cycle_ready(lake, tables, as_of).collect()
+    if missing:
+        raise NotReady(", ".join(sorted(f"{r['table_name']}: {r['missing']}" for r in missing)))
+
+
 def staged_flights(raw: DataFrame) -> DataFrame:
     """Typed flights, one row per business key: the one loaded last."""
     typed = convert_dates(raw, FLIGHT_TIMESTAMPS, ("date",))
@@ -50,20 +61,28 @@ def _newest_last(df: DataFrame, key) -> list[str]:
     return leading + [c for c in df.columns if c not in key and c not in leading]
 
 
-def stage_flights(lake: Lake, mode: str = "raw") -> int:
-    """Last raw flight snapshot to staging."""
+def stage_flights(lake: Lake, mode: str = "raw", gate: bool = True, as_of: Column | None = None) -> int:
+    """Last raw flight snapshot to staging.
+
+    With ``gate`` an incomplete cycle publishes nothing. Null rates above the alarm are logged; they are
+    counted by the write itself.
+    """
     table = "raw_flights" if mode == "raw" else "scheduled_flights"
+    if gate:
+        require_ready(lake, [("raw", table)], as_of)
     staged = staged_flights(incremental_scan(lake, "raw", table))
     return snapshot_replace(
-        lake, staged, "staging", table, mode, "origin_airport", lake.watermark("raw", table)
+        lake, staged, "staging", table, mode, "origin_airport", lake.watermark("raw", table), NULL_ALARM_FLIGHTS
     )
 
 
 def stage_weather(lake: Lake, mode: str = "raw") -> int:
-    """Last raw weather snapshot to staging."""
+    """Last raw weather snapshot to staging; null rates above the alarm are logged."""
     table = "raw_weather" if mode == "raw" else "scheduled_weather"
     staged = staged_weather(incremental_scan(lake, "raw", table))
-    return snapshot_replace(lake, staged, "staging", table, mode, "airport_iata", lake.watermark("raw", table))
+    return snapshot_replace(
+        lake, staged, "staging", table, mode, "airport_iata", lake.watermark("raw", table), NULL_ALARM_WEATHER
+    )
 
 
 def snapshot_null_profile(lake: Lake, layer: str, table: str) -> DataFrame:

@@ -28,6 +28,7 @@ from delaylake.plans import (
     train_delay_classifier,
     train_minutes_regressor,
 )
+from delaylake.plans.staging import NotReady
 from delaylake.sources import read_flight_documents, read_weather_documents
 from test_sources import daily, write_json
 
@@ -76,6 +77,10 @@ def landed(tmp_path_factory):
     return root
 
 
+def soon():
+    return F.lit("2026-03-08 08:59:00").cast("timestamp")
+
+
 def run_cycle(spark, lake, landed):
     import_reference_codes(lake, str(landed / "iata.csv"), str(landed / "weather.csv"))
     for mode in ("raw", "scheduled"):
@@ -83,9 +88,9 @@ def run_cycle(spark, lake, landed):
         assert load_flights(lake, documents, mode, RUN, "flights", "run-1") == 205
         weather = read_weather_documents(spark, str(landed / mode / "weather"))
         assert load_weather(lake, weather, mode, RUN, "weather", "run-1") == 5
-        assert stage_flights(lake, mode) == 200
+        assert stage_flights(lake, mode, as_of=soon()) == 200
         assert stage_weather(lake, mode) == 5
-        assert build_analytics(lake, mode) == 200
+        assert build_analytics(lake, mode, as_of=soon()) == 200
 
 
 def test_cycle(spark, lake, landed, tmp_path):
@@ -116,13 +121,13 @@ def test_cycle(spark, lake, landed, tmp_path):
     runs = lake.table("ml", "runs")
     assert runs.count() == 3 and runs.filter("metrics['f1'] > 0.9").count() == 2
 
-    mix = predict_delays(lake, "run-1").first()
+    mix = predict_delays(lake, "run-1", as_of=soon()).first()
     assert mix.num_predictions == 200 and 40 < mix.pct_delayed < 70
     scoring = lake.table("ml", "runs").filter("run_id = 'run-1'").first()
     assert scoring.metrics["pct_delayed"] == mix.pct_delayed and scoring.params["model_used"] == "Tree"
     tags = lake.table("ml", "model_registry").filter("stage = 'Production' AND tags['f1'] IS NOT NULL").first().tags
     assert tags["last_num_predictions"] == "200" and tags["last_prediction_run_id"] == "run-1"
-    predict_delays(lake, "run-2")
+    predict_delays(lake, "run-2", as_of=soon())
     predictions = lake.table("ml", "flight_predictions")
     assert predictions.count() == 200 and predictions.filter("run_id = 'run-2'").count() == 200
     late = predictions.filter("is_delayed").count()
@@ -146,13 +151,37 @@ def test_cycle(spark, lake, landed, tmp_path):
         write_json(flown / f"{airport}.json", document)
     assert load_flights(lake, read_flight_documents(spark, str(flown)), "raw", run, "flights", "run-3") == 205
     assert load_weather(lake, read_weather_documents(spark, str(landed / "raw" / "weather")), "raw", run, "weather", "r") == 5
-    assert (stage_flights(lake), stage_weather(lake), build_analytics(lake)) == (200, 5, 200)
+    assert (stage_flights(lake, gate=False), stage_weather(lake), build_analytics(lake, gate=False)) == (200, 5, 200)
     outcome = lake.table("analytics", "raw_flights").filter(F.col("date") == F.lit(day))
     assert outcome.filter("is_delayed_predicted IS NOT NULL").count() == 200
     assert evaluate_predicted_labels(outcome).first().f1 > 0.9
     assert lake.table("analytics", "raw_flights").filter("is_delayed_predicted IS NULL").count() == 200
 
 
+def test_an_incomplete_cycle_publishes_nothing(spark, lake, landed, tmp_path):
+    import_reference_codes(lake, str(landed / "iata.csv"), str(landed / "weather.csv"))
+    documents = read_flight_documents(spark, str(landed / "raw" / "flights" / "[NLMT]*.json"))
+    assert load_flights(lake, documents, "raw", RUN, "flights", "run-1") == 164
+    with pytest.raises(NotReady, match="BOD"):
+        stage_flights(lake, as_of=soon())
+    assert not lake.exists("staging", "raw_flights")
+    with pytest.raises(NotReady):  # arrived, but too long ago
+        stage_flights(lake, as_of=soon() + F.expr("INTERVAL 1 HOUR"))
+    assert stage_flights(lake, gate=False) == 160
+
+
+def test_rows_of_no_or_another_day_go_to_quarantine(spark, lake, landed, tmp_path):
+    document = json.loads((landed / "raw" / "flights" / "NCE.json").read_text())
+    rows = [f for f in document["operationalFlights"] if f]
+    rows[0]["flightScheduleDate"] = "soon"
+    rows[1]["flightScheduleDate"] = "2026-03-01"
+    write_json(tmp_path / "odd.json", {"operationalFlights": rows})
+    for _ in range(2):  # loading again replaces the quarantined rows
+        assert load_flights(lake, read_flight_documents(spark, str(tmp_path / "odd.json")), "raw", RUN, "flights", "r") == 39
+        kept = lake.table("ops", "quarantine").groupBy("reason").count().collect()
+        assert {r.reason: r["count"] for r in kept} == {"unreadable date": 1, "another day": 1}
+
+
 def test_kpi_file(spark, tmp_path):
     runs = spark.createDataFrame(
         [("success", "2026-03-07T06:00:00Z", "2026-03-07T06:01:00Z"), ("failure", "2026-02-01T06:00:00Z", None)],
@@ -167,4 +196,4 @@ def test_kpi_file(spark, tmp_path):
 def test_minutes_without_model_or_predictions(lake):
     assert predict_minutes(lake, DAY) == 0
     with pytest.raises(Exception):
-        predict_delays(lake, "run")
+        predict_delays(lake, "run", gate=False)
