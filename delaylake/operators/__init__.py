@@ -1,6 +1,7 @@
 """Table operators: every one takes and returns DataFrames and runs no job unless its name says so."""
 
 from .columns import (
+    BatchFunction,
     RowFunction,
     add_snapshot_columns,
     apply_columns,
@@ -37,6 +38,7 @@ from .selection import best_of, best_tag, distinct_sorted, first_match, sort_nul
 from .sets import except_rows, intersect_rows, union_by_name
 
 __all__ = [
+    "BatchFunction",
     "RowFunction",
     "add_flight_features",
     "add_snapshot_columns",

@@ -81,10 +81,10 @@ def _instant(value: dt.datetime | Column) -> Column:
 
 
 @dataclass(frozen=True)
-class RowFunction:
-    """A Python function of one row, for logic no built-in expresses; batches travel as Arrow.
+class BatchFunction:
+    """A Python function of whole pandas columns, a batch of rows at a time, for logic no built-in expresses.
 
-    Prefer a ``Column``: this one leaves the JVM.
+    It gets a frame and gives a series. Prefer a ``Column``: this one leaves the JVM.
     """
 
     function: Callable
@@ -92,6 +92,25 @@ class RowFunction:
     args: tuple = ()
     kwargs: dict = field(default_factory=dict)
 
+    def over(self, df: DataFrame) -> Column:
+        function, args, kwargs = self.function, self.args, self.kwargs
+
+        @F.pandas_udf(self.returns)
+        def call(rows: pd.DataFrame) -> pd.Series:
+            return function(rows, *args, **kwargs)
+
+        return call(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+
+
+@dataclass(frozen=True)
+class RowFunction:
+    """Adapter for existing functions of one row; it calls Python once per row, so ``BatchFunction`` is the form to write."""
+
+    function: Callable
+    returns: str | DataType
+    args: tuple = ()
+    kwargs: dict = field(default_factory=dict)
+
     def over(self, df: DataFrame) -> Column:
         function, args, kwargs = self.function, self.args, self.kwargs
 
@@ -102,13 +121,13 @@ class RowFunction:
         return call(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
 
 
-ColumnRule = Column | Callable[[DataFrame], Column] | RowFunction
+ColumnRule = Column | Callable[[DataFrame], Column] | BatchFunction | RowFunction
 
 
 def apply_columns(df: DataFrame, rules: Mapping[str, ColumnRule]) -> DataFrame:
     """Add derived columns in order; later rules see earlier columns. Other values are skipped."""
     for name, rule in rules.items():
-        if isinstance(rule, RowFunction):
+        if isinstance(rule, (BatchFunction, RowFunction)):
             df = df.withColumn(name, rule.over(df))
         elif isinstance(rule, Column):
             df = df.withColumn(name, rule)

@@ -26,13 +26,11 @@ def drop_duplicates(
     result. NULL is a key value like any other.
     """
     if keep is False:
-        others = [c for c in df.columns if c not in keys]
-        single = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("rows_of_key"), F.first(F.struct(F.lit(True), *others)).alias("only")
-        )
-        return single.filter(F.col("rows_of_key") == 1).select(
-            [F.col(c) if c in keys else F.col(f"only.{c}").alias(c) for c in df.columns]
-        )
+        # At most two rows of a key leave a task: enough to tell it is repeated.
+        by_key = Window.partitionBy(*keys)
+        few = df.withColumn("row_in_key", F.row_number().over(by_key.orderBy(F.lit(0)))).filter("row_in_key <= 2")
+        single = few.withColumn("rows_of_key", F.count(F.lit(1)).over(by_key)).filter("rows_of_key = 1")
+        return single.select(df.columns)
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first', 'last' or False, not {keep!r}")
     if not order_by:

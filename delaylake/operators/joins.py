@@ -7,18 +7,35 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 HOW = ("left", "inner", "right", "outer")
 BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``df`` hinted for broadcast when it has at most ``max_rows`` rows, else unchanged.
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes: texts and binaries by their length, anything nested by its text, the rest as 16 bytes."""
+    sizes = [F.lit(16 * len(df.columns))]
+    for f in df.schema.fields:
+        c = F.col("`{}`".format(f.name.replace("`", "``")))
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            sizes.append(F.coalesce(F.octet_length(c.cast("string")), F.lit(0)))
+    return reduce(lambda a, b: a + b, sizes)
 
-    The count runs at once and stops after ``max_rows`` + 1 rows; a frame that is costly to compute is
+
+def checked_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """``df`` hinted for broadcast when it has at most ``max_rows`` rows of ``max_bytes`` together, else unchanged.
+
+    The check runs at once and stops after ``max_rows`` + 1 rows; a frame that is costly to compute is
     better written first. A larger frame joins by shuffle, where AQE splits hot keys.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
 
 
 def equi_join(

@@ -63,10 +63,10 @@ def request_error() -> Column:
     airports = list(AIRPORT_CITIES)
     origin, destination = F.upper("origin_airport"), F.upper("destination_airport")
     return (
-        F.when(~F.coalesce(origin.isin(airports), F.lit(False)), F.concat(F.lit(MESSAGE_UNKNOWN_ORIGIN), "origin_airport"))
+        F.when(~F.coalesce(origin.isin(airports), F.lit(False)), F.concat(F.lit(MESSAGE_UNKNOWN_ORIGIN), F.coalesce("origin_airport", F.lit(""))))
         .when(
             ~F.coalesce(destination.isin(airports), F.lit(False)),
-            F.concat(F.lit(MESSAGE_UNKNOWN_DESTINATION), "destination_airport"),
+            F.concat(F.lit(MESSAGE_UNKNOWN_DESTINATION), F.coalesce("destination_airport", F.lit(""))),
         )
         .when((F.col("dep_hour") < 0) | (F.col("dep_hour") > 23), F.lit(MESSAGE_BAD_HOUR))
         .when(origin == destination, F.lit(MESSAGE_SAME_AIRPORT))

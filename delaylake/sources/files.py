@@ -27,12 +27,21 @@ def load_if_present(load: Callable[[], DataFrame]) -> DataFrame | None:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str | StructType, sep: str = ",", encoding: str = "utf-8"
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    sep: str = ",",
+    encoding: str = "utf-8",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header; quoted values may hold line breaks. ``encoding`` takes any usual name of one Spark reads."""
+    """CSV with a header. ``encoding`` takes any usual name of one Spark reads.
+
+    With ``multi_line`` quoted values may hold line breaks; Spark then reads each file in one task. Without, large files
+    are split among tasks.
+    """
     encoding = _SPARK_ENCODINGS.get(codecs.lookup(encoding).name, encoding)
     return spark.read.schema(schema).csv(
-        path, header=True, sep=sep, encoding=encoding, multiLine=True, quote='"', escape='"', mode="FAILFAST"
+        path, header=True, sep=sep, encoding=encoding, multiLine=multi_line, quote='"', escape='"', mode="FAILFAST"
     )
 
 
@@ -60,4 +69,4 @@ def read_parquet(
 
 def read_reference_codes(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Delay codes (``kind="iata"``) or weather codes (``kind="weather"``) from their CSV files."""
-    return read_csv(spark, path, {"iata": IATA_DELAY_CODES, "weather": WEATHER_CODES}[kind])
+    return read_csv(spark, path, {"iata": IATA_DELAY_CODES, "weather": WEATHER_CODES}[kind], multi_line=True)
