@@ -17,7 +17,7 @@ from .suffix_dedup import _EMPTY, removed_runs
 
 LENGTH = 13  # words of a window
 ROUNDS = 2  # symbols of at most four words, so that every window holds one with all it depends on
-MARGIN = 1  # words beside it that a symbol's name takes in
+MARGIN = 1  # further words on either side; the outermost are part of what a run of windows is named by
 
 
 def _mixed(a: np.ndarray, salt: int) -> np.ndarray:
@@ -91,19 +91,20 @@ def phrases(data: bytes, ranges=None) -> Entries:
     low, high = low - MARGIN, high + MARGIN
     inside = (low >= 0) & (high <= n)
     low, high = low[inside], high[inside]
-    rank = _span_names(names, low, high, 1)
-    # Symbol k stands in the windows that start at high[k] - LENGTH .. low[k].
+    # Both ends rise from symbol to symbol, so a window's symbols are those from one index to another.
+    rank = _mixed(_mixed(symbol[inside] + names[low], _SALTS[0]) + names[high - 1], _SALTS[1])
     windows = n - LENGTH + 1
-    best = np.full(windows, np.uint64(0xFFFFFFFFFFFFFFFF))
-    owner = np.full(windows, -1, np.int64)
-    for shift in range(LENGTH):
-        start = low - shift
-        ok = np.flatnonzero((start >= 0) & (start < windows) & (high <= start + LENGTH))
-        at = start[ok]
-        better = (rank[ok] < best[at]) | ((rank[ok] == best[at]) & ((owner[at] < 0) | (low[ok] < low[owner[at]])))
-        # Symbols differ in where they start, so no start occurs twice for one shift.
-        best[at[better]] = rank[ok][better]
-        owner[at[better]] = ok[better]
+    at = np.arange(windows)
+    begin = np.searchsorted(low, at, "left")
+    owner = begin.copy()
+    end = np.searchsorted(high, at + LENGTH, "right")
+    best = rank[owner]
+    for step in range(1, int((end - owner).max())):
+        k = begin + step
+        value = rank[np.minimum(k, len(rank) - 1)]
+        better = (k < end) & (value < best)
+        best[better] = value[better]
+        owner[better] = k[better]
     first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
     count = np.diff(np.append(first, windows))
     full = _span_names(names, first, first + count - 1 + LENGTH, 2)
