@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .common import kept_rows, register, row_key, table, text_of, written
 from .components import connected_components
 
-BITS, SEGMENT = 64, 4  # a fingerprint's bits, bits per segment
+BITS, SEGMENT = 64, 2  # a fingerprint's bits, bits per segment: so few that unrelated ones rarely share a cell
 SHINGLE, SEED = 3, 42
 CHUNK = 1 << 16  # shingles counted at once
 
@@ -107,10 +107,11 @@ def near_links(fps: DataFrame) -> DataFrame:
     """
     cells = _spread(fps, _cells, "cell")
     shared = cells.groupBy("cell").agg(F.min("fp").alias("__least"), F.max("fp").alias("__most")).where("__least <> __most")
-    near = written(cells.join(shared.select("cell"), "cell", "left_semi").select("fp").distinct(), "near_fps")
+    shared = shared.select("cell").hint("merge")  # its size has no bound, so it is never broadcast
+    near = written(cells.join(shared, "cell", "left_semi").select("fp").distinct(), "near_fps")
     meet = _spread(near, _flips, "middle")
     least = meet.groupBy("middle").agg(F.min("fp").alias("a"), F.max("fp").alias("__most")).where("a <> __most")
-    return meet.join(least.select("middle", "a"), "middle").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    return meet.join(least.select("middle", "a").hint("merge"), "middle").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
