@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -175,6 +176,51 @@ def score_minutes(spark, sf_dir):
     )
 
 
+@register(over_flights("""
+SELECT flight_id, CAST(place AS DOUBLE) AS origin_index, round((k - mean_k) / dev_k, 6) AS k_scaled,
+       round((coalesce(dep_hour, mean_hour) - mean_hour) / dev_hour, 6) AS hour_scaled
+FROM flagged JOIN (
+  SELECT origin_airport AS code, row_number() OVER (ORDER BY count(*) DESC, origin_airport) - 1 AS place
+  FROM flagged GROUP BY origin_airport
+) ON origin_airport = code
+CROSS JOIN (
+  SELECT avg(k) AS mean_k, stddev_samp(k) AS dev_k, avg(dep_hour) AS mean_hour, stddev_samp(dep_hour) AS dev_hour FROM flagged
+)
+"""))
+def standardised_features(spark, sf_dir):
+    """Category positions and standardised numbers as the models see them."""
+    rows = add_flight_features(flights(spark, sf_dir))
+    stages = preprocessing_stages(["origin_airport"], ["k", "dep_hour"])
+    seen = Pipeline(stages=stages).fit(rows).transform(rows)
+    scaled = vector_to_array("scaled_numbers")
+    return seen.select(
+        "flight_id",
+        F.col("origin_airport_index").alias("origin_index"),
+        F.round(scaled[0], 6).alias("k_scaled"),
+        F.round(scaled[1], 6).alias("hour_scaled"),
+    )
+
+
+@register(over_flights("""
+SELECT flight_id, round_even(greatest(base + slope * dep_hour, 0), 1) AS predicted_delay_minutes
+FROM flagged CROSS JOIN (
+  SELECT regr_slope(delay_minutes, dep_hour) AS slope, regr_intercept(delay_minutes, dep_hour) AS base
+  FROM flagged WHERE is_delayed AND delay_minutes IS NOT NULL
+)
+WHERE (flight_number, origin_airport) IN (
+  SELECT flight_number, origin_airport FROM predictions WHERE is_delayed AND flight_date = DATE '2024-01-15'
+)
+"""))
+def score_minutes_by_hour(spark, sf_dir):
+    """Minutes from a line through departure hours, fitted on late flights, for flights predicted late on one day."""
+    rows = add_flight_features(flights(spark, sf_dir))
+    stages = [*preprocessing_stages([], ["dep_hour"]), LinearRegression(labelCol="delay_minutes")]
+    model = detached(spark, Pipeline(stages=stages).fit(delayed_with_target(rows)))
+    return minutes_scores(rows, event_predictions(rows), model, dt.date(2024, 1, 15)).select(
+        "flight_id", "predicted_delay_minutes"
+    )
+
+
 @register()
 def trained_classifiers(spark, sf_dir):
     """Metrics of trained classifiers on the test rows."""

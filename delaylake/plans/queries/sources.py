@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ...session import shared_folder
+from ...sinks.lake import Lake
 from ...sinks.files import write_text
 from ...sources.documents import (
     flatten_flights,
@@ -15,6 +18,7 @@ from ...sources.documents import (
 )
 from ...sources.event_flights import event_flight_documents, event_weather, event_weather_documents
 from ...sources.tables import table_scan
+from ..ingest import load_flights, load_weather
 from .base import flights, over_flights, register, table
 
 
@@ -77,3 +81,47 @@ def scan_query(spark, sf_dir):
         "delaylake_orders",
         query="SELECT o_orderstatus, count(*) AS n FROM delaylake_orders GROUP BY o_orderstatus",
     )
+
+
+_RUN = dt.datetime(2024, 1, 11, 7, tzinfo=dt.timezone.utc)
+
+
+def _loaded(spark, sf_dir):
+    """A lake after one raw load of all landed flight documents."""
+    path = shared_folder(spark, "landed_flights")
+    write_text(event_flight_documents(flights(spark, sf_dir)), path)
+    lake = Lake.scratch(spark, "raw_load")
+    load_flights(lake, read_flight_documents(spark, path, multi_line=False), "raw", _RUN, "flights", "run-1")
+    return lake
+
+
+@register(over_flights("""
+SELECT flight_id, origin_airport, status, delay_code, '2024-01-11' AS date_photo, 'run-1' AS instance_id
+FROM flights WHERE date = DATE '2024-01-10'
+"""))
+def load_flights_job(spark, sf_dir):
+    """The raw load of one day: its flights."""
+    return _loaded(spark, sf_dir).table("raw", "raw_flights").select(
+        "flight_id", "origin_airport", "status", "delay_code", "date_photo", "instance_id"
+    )
+
+
+@register(over_flights("""
+SELECT 'another day' AS reason, flight_id, '2024-01-11' AS date_photo FROM flights WHERE date <> DATE '2024-01-10'
+"""))
+def quarantined_flights(spark, sf_dir):
+    """And what that load kept aside."""
+    kept = _loaded(spark, sf_dir).table("ops", "quarantine")
+    return kept.select("reason", F.get_json_object("content", "$.flight_id").alias("flight_id"), "date_photo")
+
+
+@register(over_flights("""
+SELECT CAST(date AS VARCHAR) AS date, airport_iata, temp_max, precipitation_hours, '2024-01-11' AS date_photo
+FROM weather WHERE date = DATE '2024-01-10'
+"""))
+def load_weather_job(spark, sf_dir):
+    """The raw weather load of one day."""
+    documents = event_weather_documents(event_weather(flights(spark, sf_dir)))
+    lake = Lake.scratch(spark, "raw_weather")
+    load_weather(lake, parse_weather_documents(documents, "document"), "raw", _RUN, "weather", "run-1")
+    return lake.table("raw", "raw_weather").select("date", "airport_iata", "temp_max", "precipitation_hours", "date_photo")

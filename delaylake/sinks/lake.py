@@ -138,27 +138,28 @@ class Lake:
         folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("__folder")
         written = self.spark.read.schema(target.schema).parquet(version).select(*keys, folder).distinct().collect()
         known = {tuple(p[k] for k in keys) for p in self.partitions(layer, table)}
-        old = []
-        for row in written:
+        there = [tuple("__HIVE_DEFAULT_PARTITION__" if r[k] is None else str(r[k]) for k in keys) for r in written]
+        old, new = [], []
+        if any(t in known for t in there):
+            replaced = self.spark.createDataFrame([r[:-1] for r in written], target.select(*keys).schema)
+            stored = target.select(*keys, folder)
+            same = [stored[k].eqNullSafe(replaced[k]) for k in keys]
+            old = [r[0] for r in stored.join(replaced, same, "left_semi").select("__folder").distinct().collect()]
+        for row, name_of in zip(written, there):
             spec = ", ".join(f"`{k}` = {_literal(row[k])}" for k in keys)
-            there = tuple("__HIVE_DEFAULT_PARTITION__" if row[k] is None else str(row[k]) for k in keys)
-            if there in known:
-                old.append(self._location(name, spec))
-            self._point(name, spec, unquote(row["__folder"]), there in known)
+            if name_of in known:
+                self._point(name, spec, unquote(row["__folder"]))
+            else:
+                new.append(f"PARTITION ({spec}) LOCATION {_literal(unquote(row['__folder']))}")
+        if new:
+            self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(new)}")
         self.spark.catalog.refreshTable(name)
         for path in old:
-            remove_folder(self.spark, path)
-
-    def _location(self, name: str, spec: str) -> str:
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").collect()
-        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
-
-    def _point(self, name: str, spec: str, path: str, known: bool) -> None:
-        """Let a partition of the catalog stand for the files in a folder."""
-        if known:
-            self.spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {_literal(path)}")
-        else:
-            self.spark.sql(f"ALTER TABLE {name} ADD PARTITION ({spec}) LOCATION {_literal(path)}")
+            remove_folder(self.spark, unquote(path))
+
+    def _point(self, name: str, spec: str, path: str) -> None:
+        """Let a partition of the catalog stand for the files in another folder."""
+        self.spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {_literal(path)}")
 
     def watermark(self, layer: str, table: str) -> dt.date | None:
         """Snapshot date loaded last; each (layer, table) has its own."""
