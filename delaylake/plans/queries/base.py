@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, TimestampType
 
 from ...session import configure
-from ...sources.event_flights import event_flights
+from .event_flights import event_flights
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

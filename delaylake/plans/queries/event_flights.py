@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import EXPECTED_AIRPORTS, HUB_AIRPORT
-from ..schemas import FLIGHT_TIMESTAMPS, WEATHER_ARRAYS, WEATHER_METRICS
+from ...constants import EXPECTED_AIRPORTS, HUB_AIRPORT
+from ...schemas import FLIGHT_TIMESTAMPS, WEATHER_ARRAYS, WEATHER_METRICS
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:

@@ -16,10 +16,10 @@ from ...operators import (
     latest_version,
 )
 from ...session import written
-from ...sources.event_flights import event_raw_flights, event_weather
 from ..analytics import enriched_flights
 from ..staging import staged_flights, staged_weather
 from .base import flights, over_flights, register, table
+from .event_flights import event_raw_flights, event_weather
 
 _ROUTE_DAY = ("flight_number", "date", "origin_airport", "destination_airport")
 _FEATURES = (

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ...constants import AIRPORT_CITIES
 from ...operators import anti_join, equi_join, lookup_with_default, reconcile, semi_join
-from ...sources.event_flights import event_predictions
 from .base import flights, over_flights, register, table
+from .event_flights import event_predictions
 
 
 @register("""

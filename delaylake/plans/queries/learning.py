@@ -26,8 +26,8 @@ from ...learning import (
 from ...learning.training import train_classifiers, train_regressors
 from ...operators import add_flight_features, delayed_with_target, enrich_with_weather, reconcile, select_features
 from ...session import written
-from ...sources.event_flights import event_predictions, event_weather
 from .base import flights, over_flights, register
+from .event_flights import event_predictions, event_weather
 
 
 def _features(spark, sf_dir):

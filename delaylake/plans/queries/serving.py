@@ -15,8 +15,8 @@ from ...operators import (
     run_kpis,
     validate_requests,
 )
-from ...sources.event_flights import event_predictions
 from .base import flights, over_flights, register, table
+from .event_flights import event_predictions
 from .cleaning import _newest_event
 
 _CITY_SQL = """cities AS (

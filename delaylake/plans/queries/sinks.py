@@ -14,10 +14,10 @@ from ...sinks.lake import Lake
 from ...sinks.snapshots import replace_snapshots, snapshot_replace
 from ...sinks.tables import load_table
 from ...sinks.upserts import reconcile_table, update_minutes_table, upsert_predictions_table
-from ...sources.event_flights import event_predictions
 from ...sources.files import read_csv, read_parquet
 from ...sources.tables import incremental_scan
 from .base import flights, over_flights, register, table
+from .event_flights import event_predictions
 
 _DDL = "flight_id string, status string, k int, date_photo date, origin_airport string"
 _PARTITIONS = ("date_photo", "origin_airport")

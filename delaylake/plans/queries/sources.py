@@ -16,10 +16,10 @@ from ...sources.documents import (
     parse_weather_documents,
     read_flight_documents,
 )
-from ...sources.event_flights import event_flight_documents, event_weather, event_weather_documents
 from ...sources.tables import table_scan
 from ..ingest import load_flights, load_weather
 from .base import flights, over_flights, register, table
+from .event_flights import event_flight_documents, event_weather, event_weather_documents
 
 
 @register("""

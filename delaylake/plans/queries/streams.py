@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from ...operators import latest_version
 from ...session import shared_folder
 from ...sinks.lake import Lake
-from ...sources.event_flights import event_flights
 from ...streaming import batch_folder, coverage_stream, dedupe_stream, file_stream, run_available, snapshot_stream
 from .base import over_flights, register, table
+from .event_flights import event_flights
 
 
 _FILES = 6
