@@ -158,7 +158,27 @@ def without_earlier_passages(docs: DataFrame, with_kept: bool = False) -> DataFr
     return cut if with_kept else cut.drop("kept")
 
 
-@register()
+@register(r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)
+),
+first AS (SELECT k, min(doc_id) AS d FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, i + s AS p
+  FROM (SELECT doc_id, i, unnest(range(13)) AS s FROM windows JOIN first USING (k) WHERE d < doc_id)
+),
+placed AS (SELECT doc_id, p, ws[p] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM w)),
+kept AS (
+  SELECT placed.doc_id, count(gone.p) AS n_removed,
+         string_agg(word, ' ' ORDER BY placed.p) FILTER (gone.p IS NULL) AS text
+  FROM placed LEFT JOIN gone ON placed.doc_id = gone.doc_id AND placed.p = gone.p GROUP BY placed.doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+""")
 def op8_substring_dedup(spark, sf_dir):
     """Passages of 13 words that an earlier document has removed from all documents."""
     return without_earlier_passages(table(spark, sf_dir, "documents"))
