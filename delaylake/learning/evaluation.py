@@ -38,16 +38,22 @@ def evaluate_predicted_labels(flights: DataFrame) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
-    """MAE, RMSE and R2 in one pass: the total sum of squares is n times the population variance."""
+    """MAE, RMSE and R2 in one pass: the total sum of squares is n times the population variance.
+
+    Only rows with both values count. A constant target gives 1 when predicted exactly, else 0.
+    """
     error = F.col(label) - F.col(prediction)
     sums = df.groupBy(*by).agg(
         F.avg(F.abs(error)).alias("mae"),
         F.avg(error * error).alias("mse"),
-        F.var_pop(label).alias("variance"),
+        F.var_pop(F.when(error.isNotNull(), F.col(label))).alias("variance"),
     )
     return sums.select(
         *by,
         "mae",
         F.sqrt("mse").alias("rmse"),
-        F.when(F.col("variance") > 0, 1 - F.col("mse") / F.col("variance")).otherwise(F.lit(0.0)).alias("r2"),
+        F.when(F.col("variance") > 0, 1 - F.col("mse") / F.col("variance"))
+        .when(F.col("mse") == 0, F.lit(1.0))
+        .otherwise(F.lit(0.0))
+        .alias("r2"),
     )

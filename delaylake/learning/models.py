@@ -71,22 +71,26 @@ def preprocessing_stages(
     return stages
 
 
-def classifier_estimators(label: str = "label", trees: int = 100) -> dict[str, Estimator]:
-    """The four classifiers; without the optional boosting package a second boosted-tree setting stands in."""
+def classifier_estimators(label: str = "label", trees: int = 100, forest_depth: int = 10) -> dict[str, Estimator]:
+    """The four classifiers; without the optional boosting package a second boosted-tree setting stands in.
+
+    ``forest_depth`` bounds the size of each tree of a forest; Spark allows 30 levels, and memory doubles with each.
+    """
     boosted = (
         SparkXGBClassifier(label_col=label, features_col="features")
         if SparkXGBClassifier
         else GBTClassifier(labelCol=label, maxIter=trees, maxDepth=3, stepSize=0.3, seed=SEED)
     )
     return {
-        "RandomForest": RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=10, seed=SEED),
+        "RandomForest": RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=forest_depth, seed=SEED),
         "LogisticRegression": LogisticRegression(labelCol=label, maxIter=500),
         "XGBoost": boosted,
         "GradientBoosting": GBTClassifier(labelCol=label, maxIter=trees, maxDepth=3, seed=SEED),
     }
 
 
-def regressor_estimators(label: str = "label", trees: int = 100) -> dict[str, Estimator]:
+def regressor_estimators(label: str = "label", trees: int = 100, forest_depth: int = 10) -> dict[str, Estimator]:
+    """The four regressors, with the same parameters."""
     boosted = (
         SparkXGBRegressor(label_col=label, features_col="features", n_estimators=trees)
         if SparkXGBRegressor
@@ -94,7 +98,7 @@ def regressor_estimators(label: str = "label", trees: int = 100) -> dict[str, Es
     )
     return {
         "LinearRegression": LinearRegression(labelCol=label),
-        "RandomForestRegressor": RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=10, seed=SEED),
+        "RandomForestRegressor": RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=forest_depth, seed=SEED),
         "GradientBoostingRegressor": GBTRegressor(labelCol=label, maxIter=trees, maxDepth=3, seed=SEED),
         "XGBRegressor": boosted,
     }

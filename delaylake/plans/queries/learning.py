@@ -156,7 +156,7 @@ def promotion_smaller_wins(spark, sf_dir):
 def score_flights(spark, sf_dir):
     """A fitted classifier over every flight."""
     rows = _features(spark, sf_dir)
-    labelled = rows.withColumn("label", F.col("is_delayed").cast("double")).persist()
+    labelled = written(rows.withColumn("label", F.col("is_delayed").cast("double")), "labelled")
     stages = preprocessing_stages(CLASSIFIER_CATEGORICAL, CLASSIFIER_NUMERIC)
     model = detached(spark, Pipeline(stages=[*stages, LogisticRegression(maxIter=20)]).fit(labelled))
     return score(rows.drop("is_delayed"), model).select("flight_id", "is_delayed")
@@ -166,7 +166,8 @@ def score_flights(spark, sf_dir):
 def score_minutes(spark, sf_dir):
     """A fitted regressor over the flights predicted late on one day."""
     rows = _features(spark, sf_dir)
-    delayed = select_features(delayed_with_target(rows), [*REGRESSOR_FEATURES, "delay_minutes"], lenient=True).persist()
+    delayed = select_features(delayed_with_target(rows), [*REGRESSOR_FEATURES, "delay_minutes"], lenient=True)
+    delayed = written(delayed, "delayed")
     available = [c for c in delayed.columns if c != "delay_minutes"]
     stages = preprocessing_stages(*typed_features(delayed, available))
     estimator = LinearRegression(labelCol="delay_minutes")

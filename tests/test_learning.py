@@ -74,6 +74,11 @@ def test_regression_metrics_against_formulas(spark):
     assert m.mae == pytest.approx(sum(abs(y - p) for y, p in pairs) / 40)
     assert m.rmse == pytest.approx((sse / 40) ** 0.5)
     assert m.r2 == pytest.approx(1 - sse / sst)
+    unpredicted = [(1000.0, None), (None, 7.0)]
+    again = regression_metrics(spark.createDataFrame(pairs + unpredicted, "y double, p double"), "y", "p").first()
+    assert tuple(again) == pytest.approx(tuple(m))
+    for guess, r2 in ((5.0, 1.0), (6.0, 0.0)):
+        assert regression_metrics(spark.createDataFrame([(5.0, guess)] * 3, "y double, p double"), "y", "p").first().r2 == r2
 
 
 REGISTRY = "version int, stage string, metric double, model_path string, tags map<string,string>, name string"
