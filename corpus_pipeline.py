@@ -15,9 +15,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from delaylake.llm.common import configure, written  # noqa: E402
 from delaylake.llm.exact_dedup import without_duplicates  # noqa: E402
 from delaylake.llm.mixing import mixed_documents  # noqa: E402
+from delaylake.llm.near_copies import without_near_copies  # noqa: E402
 from delaylake.llm.packing import default_tokenizer, pack_documents  # noqa: E402
 from delaylake.llm.quality_rules import clean_documents  # noqa: E402
-from delaylake.llm.simhash import without_near_duplicates  # noqa: E402
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +33,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked fingerprints the row with the least doc_id stays."""
+    """Of documents linked by at least four fifths of their five-word shingles the row with the least doc_id stays."""
     configure(spark)
-    return without_near_duplicates(docs)
+    return without_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

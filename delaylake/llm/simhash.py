@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,26 +18,37 @@ SHINGLE, SEED = 3, 42
 CHUNK = 1 << 16  # shingles counted at once
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """Bit i is one when it is set in over half of the shingles' XXH64; no words give zero.
+def shingle_digests(text: bytes, shingle: int) -> Iterator[np.ndarray]:
+    """The XXH64 of each shingle of words, in order, as rows of eight bytes, in chunks; nothing without words.
 
     Words are split at ASCII white space and lower-cased in A-Z, which is what ``bytes`` does.
     """
     words = text.lower().split()
     if not words:
-        return 0
+        return
     plain = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     size = min(shingle, len(words))
     first, last = starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist()
     digest = xxhash.xxh64_digest
-    ones = np.zeros(BITS, np.int64)
     for at in range(0, len(first), CHUNK):
         hashes = b"".join([digest(plain[a:b], SEED) for a, b in zip(first[at : at + CHUNK], last[at : at + CHUNK])])
-        bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
-        ones += bits.sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(first)).tobytes(), "big")
+        yield np.frombuffer(hashes, np.uint8).reshape(-1, 8)
+
+
+def majority(digests: Iterable[np.ndarray]) -> int:
+    """Bit i is one when it is set in over half of the hashes; none give zero."""
+    ones, count = np.zeros(BITS, np.int64), 0
+    for part in digests:
+        ones += np.unpackbits(part, axis=1).sum(0, dtype=np.int64)
+        count += len(part)
+    return int.from_bytes(np.packbits(2 * ones > count).tobytes(), "big")
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """The majority of the shingles' hashes, bit by bit; no words give zero."""
+    return majority(shingle_digests(text, shingle))
 
 
 _SIGNED = 1 << 63
