@@ -19,28 +19,30 @@ from .common import register, row_key, table, written
 WINDOW = 1024
 END_ID = 0  # follows every document
 BLOCK_PIECES = 20_000  # pieces packed together
+END_OF_TEXT = "<|endoftext|>"  # fixed value: the vocabulary's added token, whose id follows the ranks
 # Fixed value: the pattern by which the byte-level vocabularies cut a text before merging.
 CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[str], list[int]]:
-    """Ids of a text by a public vocabulary file; names of special tokens in a text are ordinary text.
+    """Ids of a text by a public vocabulary file; the end-of-text name in a text is its one special id.
 
     A ``.json`` file is read by ``tokenizers``; a ``.tiktoken`` file holds a byte-level vocabulary as ranks, for which the
-    quicker library gives the same ids.
+    quicker library gives the same ids of what stands between those names.
     """
     if path.endswith(".tiktoken"):
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        return tiktoken.Encoding("ranks", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        special = {END_OF_TEXT: len(ranks)}
+        encoding = tiktoken.Encoding("ranks", pat_str=CUTS, mergeable_ranks=ranks, special_tokens=special)
+        return lambda text: encoding.encode(text, allowed_special="all")
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 

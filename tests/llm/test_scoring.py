@@ -144,6 +144,18 @@ def test_both_vocabulary_files_give_the_same_ids():
         assert a(text or "") == b(text or "")
 
 
+def test_ids_are_those_of_the_unmodified_vocabulary():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end + end, f"x  {end}  y\n\n{end}", "<|endoftext|", f"<|{end}|>", "\ud7ff \u2028 it's 12"]
+    for text in texts + [t or "" for _, t, *_ in odd_rows()]:
+        assert encoder(default_tokenizer())(text) == plain.encode(text, add_special_tokens=False).ids
+    assert encoder(default_tokenizer())(f"a {end} b") == [64, 220, 50256, 275]
+
+
 def test_packing_round_trip(spark):
     rows = odd_rows()
     encode = encoder(default_tokenizer())
