@@ -7,14 +7,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import register, table
+from .common import register, table, written
 
 LENGTH = 128  # bytes of a window
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 16, 8
-SAMPLE_ROWS = 2_000  # bound of the labelled sample, over all languages
+SAMPLE_ROWS = 2_000  # of the labelled sample, shared equally by the languages
+LEAST_ROWS = 100  # of each language, however many languages there are
 SAMPLE_WINDOWS = 4  # windows of a sampled document used for training
 EPOCHS, BATCH, RATE, SEED = 6, 128, 4e-3, 7
 
@@ -121,14 +122,24 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 
 def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[str], list[str]]:
-    """At most ``rows`` labelled rows that are not held out, those with the least hash of their text.
+    """Distinct labelled texts that are not held out: of each language the same number, those with the least hash.
 
-    Each sends its hash-chosen part of 2,048 characters to the driver, so the sample's size is bounded in bytes as well.
+    A language's quota is its equal share of ``rows``, but at least ``LEAST_ROWS``, and all its texts where it has fewer. A text
+    counts once, under its most frequent label, however many copies it has. Only hashes and labels are shuffled to
+    choose; each chosen text then sends its hash-chosen part of 2,048 characters to the driver, so the sample's size
+    is bounded in bytes by the number of languages.
     """
     part = F.substring("text", (F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - 2047, F.lit(1))) + 1).cast("int"), F.lit(2048))
     usable = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sample = usable.select(F.xxhash64(F.lit("sample"), "text").alias("h"), part.alias("part"), "lang").orderBy("h", "lang", "part").limit(rows)
-    got = sample.collect()
+    usable = usable.select(F.xxhash64(F.lit("sample"), "text").alias("h"), part.alias("part"), "lang")
+    counts = usable.groupBy("h", "lang").agg(F.count("*").alias("n"))
+    texts = written(counts.groupBy("h").agg(F.max_by("lang", F.struct("n", "lang")).alias("lang")), "language_texts")
+    languages = texts.select("lang").distinct().count()
+    quota = max(LEAST_ROWS, rows // max(1, languages))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = written(texts.withColumn("place", place).where(F.col("place") <= quota).select("h", "lang"), "language_sample")
+    parts = usable.select("h", "part").join(chosen, "h").groupBy("h", "lang").agg(F.min("part").alias("part"))
+    got = parts.orderBy("h").collect()
     return [r["part"] for r in got], [r["lang"] for r in got]
 
 

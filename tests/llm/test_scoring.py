@@ -10,7 +10,7 @@ from edge_cases import COLUMNS, odd_documents, odd_rows, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from delaylake.llm.language_id import identify_languages
+from delaylake.llm.language_id import SAMPLE_ROWS, identify_languages, training_sample
 from delaylake.llm.mixing import mix_sources, mixed_documents, source_targets
 from delaylake.llm.packing import best_fit, default_tokenizer, encoder, pack_documents
 from delaylake.llm.quality_rules import clean_documents, quality_verdicts
@@ -263,6 +263,22 @@ def test_languages_held_out(spark):
     assert got[1002].lang_pred == "fr" and got[None].lang_pred == "de" and got[None].held_out is False
 
 
+def test_sample_has_every_text_once_and_every_language(spark):
+    rows = [(4 * i, f"copied text number {i % 20}", "en", "a") for i in range(3000)]
+    rows += [(20_000 + i, words(i, 30), "de", "a") for i in range(2500)]
+    rows += [(40_000 + i, f"texte rare {i}", "fr", "a") for i in range(4)]
+    rows += [(50_000 + i, "copied text number 0", "de", "a") for i in range(3)]
+    docs = odd_documents(spark, rows)
+    usable = [(t, lang) for d, t, lang, _ in rows if zlib.crc32(str(d).encode()) % 4 != 2]
+    texts, labels = training_sample(docs)
+    assert len(texts) == len(set(texts)) <= SAMPLE_ROWS
+    assert sorted(t for t, lang in zip(texts, labels) if lang == "fr") == sorted(t for t, lang in usable if lang == "fr")
+    assert {t for t, lang in zip(texts, labels) if lang == "en"} == {t for t, lang in usable if lang == "en"}
+    assert labels.count("de") == SAMPLE_ROWS // 3
+    again = training_sample(docs.repartition(5))
+    assert (texts, labels) == again
+
+
 def test_odd_rows_and_tables_without_rows(spark):
     assert identify_languages(odd_documents(spark)).count() == len(odd_rows())
     empty = spark.createDataFrame([], COLUMNS)
