@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from ...constants import CLASSIFIER_CATEGORICAL, CLASSIFIER_NUMERIC, REGRESSOR_FEATURES
 from ...learning import (
     classification_metrics,
+    classifier_estimators,
     detached,
     evaluate_predicted_labels,
     minutes_scores,
@@ -158,7 +158,7 @@ def score_flights(spark, sf_dir):
     rows = _features(spark, sf_dir)
     labelled = written(rows.withColumn("label", F.col("is_delayed").cast("double")), "labelled")
     stages = preprocessing_stages(CLASSIFIER_CATEGORICAL, CLASSIFIER_NUMERIC)
-    model = detached(spark, Pipeline(stages=[*stages, LogisticRegression(maxIter=20)]).fit(labelled))
+    model = detached(spark, Pipeline(stages=[*stages, classifier_estimators()["LogisticRegression"]]).fit(labelled))
     return score(rows.drop("is_delayed"), model).select("flight_id", "is_delayed")
 
 
@@ -225,25 +225,14 @@ def score_minutes_by_hour(spark, sf_dir):
 @register()
 def trained_classifiers(spark, sf_dir):
     """Metrics of trained classifiers on the test rows."""
-    fitted = train_classifiers(
-        _features(spark, sf_dir),
-        ["flight_id"],
-        CLASSIFIER_CATEGORICAL,
-        CLASSIFIER_NUMERIC,
-        estimators={"LogisticRegression": LogisticRegression(maxIter=20)},
-    )
+    fitted = train_classifiers(_features(spark, sf_dir), ["flight_id"], CLASSIFIER_CATEGORICAL, CLASSIFIER_NUMERIC)
     return _metric_rows(spark, fitted)
 
 
 @register()
 def trained_regressors(spark, sf_dir):
     """Metrics of trained regressors on the test rows."""
-    fitted = train_regressors(
-        _features(spark, sf_dir),
-        ["flight_id"],
-        REGRESSOR_FEATURES,
-        estimators={"LinearRegression": LinearRegression()},
-    )
+    fitted = train_regressors(_features(spark, sf_dir), ["flight_id"], REGRESSOR_FEATURES)
     return _metric_rows(spark, fitted)
 
 
