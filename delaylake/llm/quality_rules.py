@@ -14,14 +14,18 @@ UNIT = 1024  # transformed statistics are whole multiples of 1/UNIT, so that sum
 STATISTICS = {
     "x_length": (0.7, 24.0),  # log2 of words
     "x_word": (0.3, 16.0),  # log2 of characters per word
-    "x_symbols": (0.02, 1.0),  # share of symbols among characters
+    "x_symbols": (1 / UNIT, 1.0),  # share of symbols among characters
     "x_lines": (0.05, 1.0),  # share of repeated lines
     "x_repeats": (0.05, 1.0),  # share of words in repeated windows
 }
 COVERED = 0.75  # share of a group's documents whose covariance determinant is made small
 STEPS = 4  # concentration steps after the start
-CUT = 45.0  # squared distance; a normal vector of five statistics exceeds it once in 10^8
-LEAST_GROUP = 200  # smaller groups of a language are estimated together
+#: Covariances of the covered part times this are those of a normal distribution: 0.75 / P(chi2(7) <= q), with q the quantile
+#: of chi2(5) at 0.75.
+CONSISTENCY = 0.75 / 0.5311
+CUT = 25.745  # squared distance: the quantile of chi2(5) at 0.9999
+LEAST_GROUP = 200  # smaller groups of a language are estimated together, and smaller languages with all languages
+LEAST_TABLE = 25  # documents, five for each statistic; fewer in the whole table give no estimate
 SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -160,8 +164,8 @@ def judge_quality(docs: DataFrame) -> DataFrame:
 
     The base rule rejects documents of fewer than 50 words and those with over half their words in repeated
     windows of three. Among the rest, each language and source has its own estimate; sources of a language with fewer than
-    ``LEAST_GROUP`` documents share one, and where even that is smaller, the method rejects none. A
-    document goes when its squared distance exceeds ``CUT``. A missing language or source is a group like any other, a missing text
+    ``LEAST_GROUP`` documents share one, and where even that is smaller, one over the documents of all languages serves; only a table
+    of fewer than ``LEAST_TABLE`` loses none. A document goes when its squared distance, made consistent, exceeds ``CUT``. A missing language or source is a group like any other, a missing text
     has no words. Repeated rows get the same verdict. An empty table gives an empty result.
     """
     judged = base_statistics(docs)
@@ -182,19 +186,30 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     )
     rows = judge_quality(narrow).withColumn("text_sha256", F.sha2(text_of().cast("binary"), 256)).drop("text")
     rows = written(rows, "quality_rows")
-    # Small groups of a language together, under a name of their own kind: an array sets it apart from any source.
+    # Small groups of a language together, and small languages together, under names of their own kind: a number sets them apart.
     sizes = rows.where("not __base_failed").groupBy("g_lang", "g_source").agg(F.count("*").alias("__n"))
     sizes = written(sizes, "quality_groups").select(F.col("g_lang").alias("__l"), F.col("g_source").alias("__s"), "__n")
+    small = sizes.where(F.col("__n") < LEAST_GROUP).groupBy("__l").agg(F.sum("__n").alias("__pool"))
+    sizes = sizes.join(small.withColumnRenamed("__l", "__k"), F.col("__l").eqNullSafe(F.col("__k")), "left").drop("__k")
+    level = F.when(F.col("__n") >= LEAST_GROUP, 0).when(F.col("__pool") >= LEAST_GROUP, 1).otherwise(2)
+    sizes = written(sizes.select("__l", "__s", "__n", level.alias("__level")), "quality_levels")
+    total, rare = sizes.agg(F.sum("__n"), F.max("__level")).first()
     on = F.col("g_lang").eqNullSafe(F.col("__l")) & F.col("g_source").eqNullSafe(F.col("__s"))
-    passed = _transformed(rows.where("not __base_failed")).join(sizes, on).drop("__l", "__s")
-    own = F.col("__n") >= LEAST_GROUP
-    passed = passed.withColumn("g_source", F.struct(own.alias("own"), F.when(own, F.col("g_source")).alias("source"))).drop("__n")
+    passed = _transformed(rows.where("not __base_failed")).join(sizes.drop("__n"), on).drop("__l", "__s")
+    at = F.col("__level")
+    lang = F.struct(at.alias("level"), F.when(at < 2, F.col("g_lang")).alias("lang"))
+    passed = passed.withColumns({"g_lang": lang, "g_source": F.when(at < 1, F.col("g_source"))}).drop("__level")
     passed = written(passed, "quality_passed")
-    estimates = robust_estimates(passed.select("g_lang", "g_source", *STATISTICS))
-    counts = passed.groupBy("g_lang", "g_source").agg(F.count("*").alias("__rows"))
-    far = _grouped(_grouped(passed, estimates), counts).select(
+    told = passed.select("g_lang", "g_source", *STATISTICS)
+    if rare == 2:  # small languages are judged by an estimate over the documents of all languages
+        everything = F.struct(F.lit(2).alias("level"), F.lit(None).cast("string").alias("lang"))
+        told = told.where("g_lang.level < 2").unionByName(
+            told.withColumns({"g_lang": everything, "g_source": F.lit(None).cast("string")})
+        )
+    estimates = robust_estimates(told)
+    far = _grouped(passed, estimates).select(
         "doc_id", "__n_words", "__word_chars", "__n_symbols", "__n_dup_lines", "__n_repeat_words", "__base_failed", "text_sha256",
-        ((_by_factors() <= CUT) | (F.col("__rows") < LEAST_GROUP)).alias("kept"),
+        ((_by_factors() <= CONSISTENCY * CUT) | F.lit((total or 0) < LEAST_TABLE)).alias("kept"),
     )
     failed = rows.where("__base_failed").select(*far.columns[:-1], F.lit(False).alias("kept"))
     plain = {c: c.removeprefix("__") for c in far.columns}

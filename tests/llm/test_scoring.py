@@ -60,6 +60,15 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert clean.columns == docs.columns and clean.count() == 1000
 
 
+def test_navigation_rows_and_junk_of_rare_languages_go(spark):
+    rows = [(i, words(i, 100 + i % 300, 5000), "en", "a") for i in range(500)]
+    rows += [(1000 + i, words(1000 + i, 100 + i % 90, 5000), "xx", "a") for i in range(30)]
+    menu = [" | ".join(words(2000 + i, 80, 5000).split()) for i in range(10)]
+    rows += [(2000 + i, t, "en" if i < 5 else "xx", "a") for i, t in enumerate(menu)]
+    got = {r.doc_id: r.kept for r in quality_verdicts(odd_documents(spark, rows)).collect()}
+    assert {d for d, kept in got.items() if not kept} == set(range(2000, 2010))
+
+
 # Mixing
 
 
