@@ -2,7 +2,9 @@
 
 from . import (  # noqa: F401
     exact_dedup,
+    hard_negatives,
     language_id,
+    manifest,
     mixing,
     packing,
     phrase_dedup,
@@ -11,6 +13,7 @@ from . import (  # noqa: F401
     simhash,
     suffix_dedup,
     url_filters,
+    word_bpe,
 )
 from .common import ORACLES, QUERIES
 
