@@ -41,9 +41,10 @@ def _publish(
     now = dt.datetime.now(dt.timezone.utc)
     lake.create("ml", "runs")
     runs = run_rows(lake.spark, fitted, registry_name, now)
-    runs.select(lake.table("ml", "runs").columns).write.mode("append").insertInto(lake.name("ml", "runs"))
+    lake.replace_partitions("ml", "runs", runs)
 
     lake.create("ml", "model_registry")
+    base = lake.version("ml", "model_registry")
     path = f"{lake.root}/models/{registry_name}/{best.run_id}"
     tags = {
         "model_type": best.name,
@@ -51,7 +52,7 @@ def _publish(
         "trained_at": now.strftime("%Y-%m-%d %H:%M"),
         **best.params,
     }
-    registry = lake.table("ml", "model_registry").filter(F.col("name") == registry_name)
+    registry = lake.table("ml", "model_registry", base, lambda spec: spec["name"] == registry_name)
     registry, version = register(registry, registry_name, best.metrics[metric], path, tags)
     # Classifier versions that never reached production are archived; regressor versions stay.
     decided = promote(registry, {registry_name: version}, threshold, direction, archive_superseded=direction == "max")
@@ -60,7 +61,7 @@ def _publish(
         logger.warning("%s: %s does not pass %s, not registered", registry_name, best.metrics[metric], threshold)
         return None
     best.model.write().overwrite().save(path)
-    lake.swap_partitions("ml", "model_registry", decided)
+    lake.replace_partitions("ml", "model_registry", decided, base)
     return stage
 
 
@@ -120,21 +121,23 @@ def _log_scoring(lake: Lake, run_id: str, champion: dict, mix: DataFrame) -> Non
     model = champion["tags"]["model_type"]
     params = F.create_map(F.lit("model_used"), F.lit(model), F.lit("model_path"), F.lit(champion["model_path"]))
     lake.create("ml", "runs")
-    mix.select(
+    run = mix.select(
         F.lit(run_id).alias("run_id"),
         F.lit(f"{model}_prediction").alias("model"),
         params.alias("params"),
         metrics.alias("metrics"),
         F.current_timestamp().alias("logged_at"),
         F.lit(champion["name"]).alias("experiment"),
-    ).write.mode("append").insertInto(lake.name("ml", "runs"))
+    )
+    lake.replace_partitions("ml", "runs", run)
     tags = {
         "last_prediction_run_id": run_id,
         "last_num_predictions": str(counts["num_predictions"]),
         "last_pct_delayed": str(counts["pct_delayed"]),
     }
-    registry = lake.table("ml", "model_registry").filter(F.col("name") == champion["name"])
-    lake.swap_partitions("ml", "model_registry", tag_version(registry, champion["version"], tags))
+    base = lake.version("ml", "model_registry")
+    registry = lake.table("ml", "model_registry", base, lambda spec: spec["name"] == champion["name"])
+    lake.replace_partitions("ml", "model_registry", tag_version(registry, champion["version"], tags), base)
 
 
 def predict_minutes(lake: Lake, flight_date: dt.date) -> int:

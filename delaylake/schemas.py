@@ -150,7 +150,6 @@ PREDICTIONS = """
     predicted_delay_minutes double, regression_model_name string, regression_model_version string,
     flight_date date"""
 
-WATERMARKS = "date_photo date, layer string, table_name string"
 QUARANTINE = "reason string, content string, load_table string, date_photo date"
 MODEL_REGISTRY = "version int, stage string, metric double, model_path string, tags map<string,string>, name string"
 ML_RUNS = """run_id string, model string, params map<string,string>, metrics map<string,double>,

@@ -1,17 +1,16 @@
-"""The layered tables: one database per layer, partitioned Parquet tables inside, and the watermarks (K6)."""
+"""The layered tables: partitioned ones in versions, plain ones in a database per layer, and the watermarks (K6)."""
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from collections.abc import Iterable
-from urllib.parse import unquote
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
-from ..session import configure, note_databases, remove_folder, shared_folder
+from ..session import configure, note_databases, shared_folder
+from .versions import Key, Version, VersionedTable
 
 LAYERS = ("raw", "staging", "analytics", "ml", "ref", "ops")
 
@@ -32,26 +31,28 @@ TABLES = {
     ("analytics", "scheduled_flights"): (schemas.ANALYTICS_SCHEDULED, _FLIGHTS),
     ("ml", "flight_predictions"): (schemas.PREDICTIONS, ("flight_date",)),
     ("ml", "model_registry"): (schemas.MODEL_REGISTRY, ("name",)),
-    ("ml", "runs"): (schemas.ML_RUNS, ("experiment",)),
+    ("ml", "runs"): (schemas.ML_RUNS, ("experiment", "run_id")),
     ("ref", "iata_delay_codes"): (schemas.IATA_DELAY_CODES, ()),
     ("ref", "weather_codes"): (schemas.WEATHER_CODES, ()),
-    ("ops", "watermarks"): (schemas.WATERMARKS, ("layer", "table_name")),
     ("ops", "quarantine"): (schemas.QUARANTINE, ("load_table", "date_photo")),
 }
 
 
-def _literal(value) -> str:
-    """A partition value or path as SQL text; Spark casts it to the partition column's type."""
-    return "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+Spec = dict[str, str]
 
 
 class Lake:
-    """Names and creates the tables; ``namespace`` keeps several lakes apart in one catalog."""
+    """Names and creates the tables; ``namespace`` keeps several lakes apart in one catalog.
+
+    Tables with partition columns are ``VersionedTable`` folders below ``root``; a commit changes any number of their partitions
+    at once, and their watermark with them. Tables without are catalog tables, replaced as a whole.
+    """
 
     def __init__(self, spark: SparkSession, root: str, namespace: str = ""):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.namespace = namespace
+        self._versioned: dict[tuple[str, str], VersionedTable] = {}
         for layer in LAYERS:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}{layer}` LOCATION '{self.root}/{layer}'")
 
@@ -64,120 +65,84 @@ class Lake:
         return cls(spark, root, namespace)
 
     def name(self, layer: str, table: str) -> str:
+        """The name of a table without partitions in the catalog."""
         return f"`{self.namespace}{layer}`.`{table}`"
 
+    def versioned(self, layer: str, table: str) -> VersionedTable:
+        """The versions of a partitioned table."""
+        key = (layer, table)
+        if key not in self._versioned:
+            self._versioned[key] = VersionedTable(self.spark, f"{self.root}/versioned/{layer}/{table}")
+        return self._versioned[key]
+
     def exists(self, layer: str, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(layer, table))
+        return self.versioned(layer, table).exists() or self.spark.catalog.tableExists(self.name(layer, table))
 
-    def create(self, layer: str, table: str, ddl: str | None = None, partitioned_by: Iterable[str] | None = None) -> str:
+    def create(self, layer: str, table: str, ddl: str | None = None, partitioned_by: Iterable[str] | None = None) -> None:
         """Create the table when absent; known tables need no schema."""
         if ddl is None:
             if self.exists(layer, table):
-                return self.name(layer, table)
+                return
             ddl, partitioned_by = TABLES[(layer, table)]
-        keys = ", ".join(partitioned_by or ())
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name(layer, table)} ({ddl}) USING parquet"
-            + (f" PARTITIONED BY ({keys})" if keys else "")
-        )
-        return self.name(layer, table)
-
-    def table(self, layer: str, table: str) -> DataFrame:
-        return self.spark.table(self.name(layer, table))
-
-    def partitions(self, layer: str, table: str) -> list[dict[str, str]]:
-        """Partition values from the catalog; their number is days x airports, whatever the row count."""
-        rows = self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}").collect()
-        return [
-            {key: unquote(value) for key, value in (part.split("=", 1) for part in row[0].split("/"))} for row in rows
-        ]
-
-    def drop_partitions(self, layer: str, table: str, specs: list[dict[str, str]]) -> None:
-        """Remove whole partitions: folders go away, no row is rewritten."""
-        if not specs:
-            return
-
-        clauses = ", ".join(
-            "PARTITION (" + ", ".join(f"`{k}` = {_literal(v)}" for k, v in spec.items()) + ")" for spec in specs
-        )
-        self.spark.sql(f"ALTER TABLE {self.name(layer, table)} DROP IF EXISTS {clauses}")
-
-    def replace_partitions(self, layer: str, table: str, df: DataFrame) -> None:
-        """Overwrite exactly the partitions ``df`` holds rows of.
-
-        Rebalancing by partition column gives few files per partition and lets AQE cut a hot partition
-        into several tasks. For rows that can be had again, such as a landed batch; ``swap_partitions`` is for
-        frames that read the partitions they replace.
-        """
-        name = self.name(layer, table)
-        target = self.spark.table(name)
-        partition_columns = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
-        df = df.select([F.col(f.name).cast(f.dataType) for f in target.schema.fields])
-        if partition_columns:
-            df = df.hint("rebalance", *partition_columns)
-        df.write.mode("overwrite").insertInto(name)
-        # A streaming batch writes from a session of its own; this one has to list the files again.
-        self.spark.catalog.refreshTable(name)
-
-    def swap_partitions(self, layer: str, table: str, df: DataFrame) -> None:
-        """Replace the partitions ``df`` holds rows of, without a moment in which rows exist nowhere.
-
-        The new partitions are written whole into a folder of their own; then the catalog is pointed to them, one
-        partition after the other, and only then the old folders go. A failure on the way leaves each partition
-        either old or new, and running again completes it.
+        keys = tuple(partitioned_by or ())
+        if keys:
+            self.versioned(layer, table).create(StructType.fromDDL(ddl), keys)
+        else:
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(layer, table)} ({ddl}) USING parquet")
+
+    def table(
+        self, layer: str, table: str, version: int | None = None, keep: Callable[[Spec], bool] | None = None
+    ) -> DataFrame:
+        """The rows of a table: of the newest version, or of a given one; ``keep`` picks partitions before files are listed."""
+        versions = self.versioned(layer, table)
+        if version is None and keep is None and not versions.exists():
+            return self.spark.table(self.name(layer, table))
+        return versions.read(version, keep)
+
+    def view(self, layer: str, table: str) -> str:
+        """A name for SQL that stands for the newest version as of now, in this session."""
+        if not self.versioned(layer, table).exists():
+            return self.name(layer, table)
+        name = f"{self.namespace}{layer}_{table}"
+        self.table(layer, table).createOrReplaceTempView(name)
+        return f"`{name}`"
+
+    def version(self, layer: str, table: str) -> int:
+        """The number of the newest version; a change computed from the table's rows names the one it read."""
+        return self.versioned(layer, table).current().number
+
+    def partitions(self, layer: str, table: str) -> list[Spec]:
+        """Partition values as texts; their number is days x airports, whatever the row count."""
+        version = self.versioned(layer, table).current()
+        return [version.spec(key) for key in version.parts]
+
+    def write(self, layer: str, table: str, df: DataFrame) -> dict[Key, str]:
+        """Rows into new folders; ``commit`` makes them part of the table."""
+        return self.versioned(layer, table).write(df)
+
+    def commit(self, layer: str, table: str, *args, **changes) -> Version:
+        """All changes of one step: see ``VersionedTable.commit``."""
+        return self.versioned(layer, table).commit(*args, **changes)
+
+    def drop_partitions(self, layer: str, table: str, drop: Callable[[Spec], bool]) -> None:
+        """Remove whole partitions: no row is rewritten."""
+        self.commit(layer, table, drop=drop)
+
+    def replace_partitions(self, layer: str, table: str, df: DataFrame, base: int | None = None) -> None:
+        """Replace exactly the partitions ``df`` holds rows of, all at once.
+
+        A frame computed from the table passes the version it was read from as ``base``: a change that came in between
+        would be lost, so the commit is refused. A failure on the way leaves the table as it was.
         """
-        name = self.name(layer, table)
-        target = self.spark.table(name)
-        keys = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
-        if not keys:
-            raise ValueError(f"{name} has no partitions to swap")
-        df = df.select([F.col(f.name).cast(f.dataType) for f in target.schema.fields]).hint("rebalance", *keys)
-        version = f"{self.root}/versions/{layer}.{table}/{uuid.uuid4().hex}"
-        df.write.partitionBy(*keys).parquet(version)
-        # One row per partition: its values and its folder.
-        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("__folder")
-        written = self.spark.read.schema(target.schema).parquet(version).select(*keys, folder).distinct().collect()
-        known = {tuple(p[k] for k in keys) for p in self.partitions(layer, table)}
-        there = [tuple("__HIVE_DEFAULT_PARTITION__" if r[k] is None else str(r[k]) for k in keys) for r in written]
-        old, new = [], []
-        if any(t in known for t in there):
-            replaced = self.spark.createDataFrame([r[:-1] for r in written], target.select(*keys).schema)
-            stored = target.select(*keys, folder)
-            same = [stored[k].eqNullSafe(replaced[k]) for k in keys]
-            old = [r[0] for r in stored.join(replaced, same, "left_semi").select("__folder").distinct().collect()]
-        for row, name_of in zip(written, there):
-            spec = ", ".join(f"`{k}` = {_literal(row[k])}" for k in keys)
-            if name_of in known:
-                self._point(name, spec, unquote(row["__folder"]))
-            else:
-                new.append(f"PARTITION ({spec}) LOCATION {_literal(unquote(row['__folder']))}")
-        if new:
-            self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(new)}")
-        self.spark.catalog.refreshTable(name)
-        for path in old:
-            remove_folder(self.spark, unquote(path))
-
-    def _point(self, name: str, spec: str, path: str) -> None:
-        """Let a partition of the catalog stand for the files in another folder."""
-        self.spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {_literal(path)}")
+        written = self.write(layer, table, df)
+        if written:
+            self.commit(layer, table, written, base=base)
 
     def watermark(self, layer: str, table: str) -> dt.date | None:
         """Snapshot date loaded last; each (layer, table) has its own."""
-        if not self.exists("ops", "watermarks"):
-            return None
-        row = (
-            self.table("ops", "watermarks")
-            .filter((F.col("layer") == layer) & (F.col("table_name") == table))
-            .select("date_photo")
-            .first()
-        )
-        return row[0] if row else None
+        versions = self.versioned(layer, table)
+        found = versions.current().watermark if versions.exists() else None
+        return None if found is None else dt.date.fromisoformat(found)
 
     def advance_watermark(self, layer: str, table: str, date_photo: dt.date) -> None:
-        self.create("ops", "watermarks")
-        row = self.spark.range(1).select(
-            F.lit(date_photo.isoformat()).cast("date").alias("date_photo"),
-            F.lit(layer).alias("layer"),
-            F.lit(table).alias("table_name"),
-        )
-        row.write.mode("overwrite").insertInto(self.name("ops", "watermarks"))
+        self.commit(layer, table, watermark=date_photo.isoformat())

@@ -61,15 +61,16 @@ def snapshot_replace(
     airport_column: str | None = "origin_airport",
     date_photo: dt.date | None = None,
     null_alarm: float | None = None,
+    notes: dict[str, str] | None = None,
 ) -> int:
-    """Replace a snapshot and advance the watermark; returns the rows loaded.
+    """Replace a snapshot and advance the watermark, in one commit; returns the rows loaded.
 
     Columns with more than ``null_alarm`` percent of NULL are logged as a warning; the write counts them.
 
     The table is partitioned by (date_photo, airport), or by date_photo alone with
     ``airport_column=None``. Mode ``raw`` replaces the batch's own date for the batch's airports; mode
     ``scheduled`` also removes their earlier dates. Both work on whole partitions only. An empty batch
-    changes nothing. Running twice gives the same table as running once.
+    changes nothing. Running twice gives the same table as running once. ``notes`` are kept with the version.
     """
     if mode not in ("raw", "scheduled"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -81,7 +82,7 @@ def snapshot_replace(
             logger.info("empty batch for %s.%s", layer, table)
             return 0
     checked = checked_batch(batch, date_photo, airport_column)
-    return _publish(lake, checked, layer, table, mode, airport_column, null_alarm)
+    return _publish(lake, checked, layer, table, mode, airport_column, null_alarm, notes)
 
 
 def replace_snapshots(
@@ -111,8 +112,9 @@ def replace_snapshots(
 
 
 def _publish(
-    lake: Lake, batch: DataFrame, layer: str, table: str, mode: str, airport_column: str | None, null_alarm: float | None = None
-) -> int:
+    lake: Lake, batch: DataFrame, layer: str, table: str, mode: str, airport_column: str | None,
+    null_alarm: float | None = None, notes: dict[str, str] | None = None,
+) -> int:
     lake.create(layer, table)
     metrics = [F.count(F.lit(1)).alias("rows"), F.max("date_photo").cast("string").alias("newest")]
     if airport_column and mode == "scheduled":
@@ -123,7 +125,7 @@ def _publish(
     checked = batch.columns if null_alarm is not None else []
     metrics += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(checked)]
     observation = Observation(f"load {layer}.{table}")
-    lake.replace_partitions(layer, table, batch.observe(observation, *metrics))
+    written = lake.write(layer, table, batch.observe(observation, *metrics))
     seen = observed(observation, batch, metrics)
     if seen["rows"] == 0:
         return 0
@@ -131,11 +133,11 @@ def _publish(
         percent = round(100 * seen[f"nulls_{i}"] / seen["rows"], 2)
         if percent > null_alarm:
             logger.warning("%s.%s: %s is NULL in %s %% of %s rows", layer, table, c, percent, seen["rows"])
+    superseded = None
     if mode == "scheduled":
-        newest = {a: d for d, a in (s.split("|", 1) for s in seen["snapshots"])} if airport_column else {}
+        newest = {a: d for d, a in (s.split("|", 1) for s in sorted(seen["snapshots"]))} if airport_column else {}
         limit = (lambda spec: newest.get(spec[airport_column], "")) if airport_column else (lambda spec: seen["newest"])
-        lake.drop_partitions(
-            layer, table, [spec for spec in lake.partitions(layer, table) if spec["date_photo"] < limit(spec)]
-        )
-    lake.advance_watermark(layer, table, dt.date.fromisoformat(seen["newest"]))
+        superseded = lambda spec: spec["date_photo"] < limit(spec)
+    # New partitions, removed ones and the watermark: one step.
+    lake.commit(layer, table, written, superseded, seen["newest"], notes=notes)
     return seen["rows"]

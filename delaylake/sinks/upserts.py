@@ -1,9 +1,9 @@
-"""Keyed updates of published tables; only touched partitions are rewritten."""
+"""Keyed updates of published tables; only touched partitions are rewritten, all in one commit."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -14,6 +14,7 @@ from ..operators.quality import observed
 from ..operators.reconcile import apply_minutes, reconcile
 from ..session import written
 from .lake import Lake
+from .versions import NULL_VALUE
 
 
 def merge_predictions(
@@ -64,9 +65,10 @@ def merge_predictions(
     )
 
 
-def _touched(target: DataFrame, partition: str, values: list) -> DataFrame:
-    condition = F.col(partition).isin([v for v in values if v is not None])
-    return target.filter(condition | F.col(partition).isNull() if None in values else condition)
+def _days(column: str, values: Iterable) -> Callable[[dict[str, str]], bool]:
+    """Partitions of these days; a missing day has its own."""
+    names = {NULL_VALUE if v is None else str(v) for v in values}
+    return lambda spec: spec[column] in names
 
 
 def upsert_predictions_table(lake: Lake, batch: DataFrame, order_by: Sequence[Column | str]) -> None:
@@ -78,8 +80,9 @@ def upsert_predictions_table(lake: Lake, batch: DataFrame, order_by: Sequence[Co
     batch = written(batch, "upsert_batch")
     # One value per calendar day of the batch, as literals for partition pruning.
     days = [row[0] for row in batch.select("flight_date").distinct().collect()]
-    target = _touched(lake.table("ml", "flight_predictions"), "flight_date", days)
-    lake.swap_partitions("ml", "flight_predictions", merge_predictions(target, batch, order_by))
+    base = lake.version("ml", "flight_predictions")
+    target = lake.table("ml", "flight_predictions", base, _days("flight_date", days))
+    lake.replace_partitions("ml", "flight_predictions", merge_predictions(target, batch, order_by), base)
 
 
 def update_minutes_table(
@@ -91,13 +94,12 @@ def update_minutes_table(
     order_by: Sequence[Column | str],
 ) -> int:
     """Write predicted minutes onto the flights of one day predicted late; returns rows updated."""
-    target = lake.table("ml", "flight_predictions").filter(
-        F.col("flight_date") == F.lit(flight_date.isoformat()).cast("date")
-    )
+    base = lake.version("ml", "flight_predictions")
+    target = lake.table("ml", "flight_predictions", base, _days("flight_date", [flight_date]))
     observation = Observation("update minutes")
     updated = apply_minutes(target, scores, model_name, model_version, order_by, flag="updated")
     count = F.count_if("updated").alias("rows")
-    lake.swap_partitions("ml", "flight_predictions", updated.observe(observation, count).drop("updated"))
+    lake.replace_partitions("ml", "flight_predictions", updated.observe(observation, count).drop("updated"), base)
     return observed(observation, updated, [count])["rows"]
 
 
@@ -115,8 +117,8 @@ def reconcile_table(
     those days: the prediction table is pruned to them, and the analytics table to snapshots that are not
     older than the first.
     """
-    stored = lake.table("analytics", table)
-    target = stored
+    base = lake.version("analytics", table)
+    target = lake.table("analytics", table, base)
     if date_photos is not None:
         target = target.filter(F.col("date_photo").isin(list(date_photos)))
     if flight_dates is not None:
@@ -139,5 +141,6 @@ def reconcile_table(
     )
     changed = [r["date_photo"] for r in found if r["changed"]]
     if changed:
-        lake.swap_partitions("analytics", table, reconcile(_touched(stored, "date_photo", changed), predictions))
+        stored = lake.table("analytics", table, base, _days("date_photo", changed))
+        lake.replace_partitions("analytics", table, reconcile(stored, predictions), base)
     return sum(r["matched"] for r in found)

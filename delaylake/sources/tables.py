@@ -44,14 +44,14 @@ def incremental_scan(
     The watermark becomes a literal on the partition column, so other snapshots are not even listed.
     A given ``where`` or ``query`` switches it off; without a watermark the whole table is read.
     """
-    scan = table_scan(lake.spark, lake.name(layer, table), columns, where, query=query)
+    scan = table_scan(lake.spark, lake.view(layer, table), columns, where, query=query)
     if where or query:
         return scan
     watermark = lake.watermark(layer, table)
     if watermark is None:
         logger.warning("no watermark for %s.%s: full scan", layer, table)
         return scan
-    return table_scan(lake.spark, lake.name(layer, table), columns, f"date_photo = DATE'{watermark}'")
+    return table_scan(lake.spark, lake.view(layer, table), columns, f"date_photo = DATE'{watermark}'")
 
 
 def jdbc_scan(
