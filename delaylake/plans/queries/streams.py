@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ...operators import latest_version
 from ...session import shared_folder
 from ...sinks.lake import Lake
-from ...streaming import batch_folder, coverage_stream, dedupe_stream, file_stream, run_available, snapshot_stream
+from ...streaming import batch_folder, coverage_stream, dedupe_stream, dropped_rows, file_stream, newest_stream, run_available, snapshot_stream
 from .base import over_flights, register, table
 from .event_flights import event_flights
 
@@ -67,6 +69,54 @@ def stream_dedupe(spark, sf_dir):
     return rows.drop("batch_id")
 
 
+_STRAGGLERS = 40  # every so manieth event lands with the last file
+
+
+def _file_of(event_id, ts):
+    """Files hold five days each; some events come with the last one, most of them too late."""
+    days = F.datediff(F.col(ts), F.lit("2024-01-01"))
+    return F.when(F.col(event_id) % _STRAGGLERS == 0, 5).otherwise(F.least(F.floor(days / 5), F.lit(5))).cast("int")
+
+
+@register("""
+WITH landed AS (
+  SELECT event_id, user_id, event_type, value, epoch_ms(ts) AS ms,
+         CASE WHEN event_id % 40 = 0 THEN 5 ELSE least(5, datediff('day', DATE '2024-01-01', ts::DATE) // 5) END AS file
+  FROM events
+), marks AS (
+  SELECT file, max(max(ms)) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 172800000 AS mark FROM landed GROUP BY file
+), timed AS (
+  SELECT l.*, coalesce(ms <= mark, false) AS late FROM landed l JOIN marks USING (file)
+), spans AS (
+  SELECT *, sum(CASE WHEN ms >= before + 28800000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY file, ms, event_id) AS span FROM (
+    SELECT *, max(ms) OVER (PARTITION BY user_id ORDER BY file, ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+    FROM timed WHERE NOT late)
+), newest AS (
+  SELECT *, max(span) OVER (PARTITION BY user_id) AS last_span FROM spans
+  QUALIFY row_number() OVER (PARTITION BY user_id, span ORDER BY ms DESC, event_id DESC) = 1
+)
+SELECT event_id, user_id, event_type, value, (SELECT count(*) FROM timed WHERE late) AS late_rows FROM newest
+WHERE span < last_span OR ms + 28800000 <= (SELECT max(ms) - 172800000 FROM landed)
+""")
+def stream_newest(spark, sf_dir):
+    """The last event of every user before eight quiet hours, as events land, and how many came later than two days."""
+    landing, out = shared_folder(spark, "newest_landing"), shared_folder(spark, "stream_newest")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    for file in range(6):  # one after the other, as they would land
+        events.where(_file_of("event_id", "ts") == file).coalesce(1).write.mode("append").parquet(landing)
+    stream = file_stream(spark, landing, events.schema, "parquet", max_files=1)
+    newest = newest_stream(stream, ["user_id"], "ts", "2 days", dt.timedelta(hours=8), F.col("event_id"))
+    query = run_available(
+        newest.drop("ts"),
+        lambda batch, i: batch.write.mode("overwrite").parquet(batch_folder(f"{out}/rows", i)),
+        f"{out}/checkpoint",
+    )
+    schema = "event_id bigint, user_id bigint, event_type string, value double, late boolean, batch_id bigint"
+    rows = spark.read.schema(schema).parquet(f"{out}/rows").drop("batch_id")
+    late = rows.where("late").count() + dropped_rows(query)
+    return rows.where(~F.col("late")).drop("late").withColumn("late_rows", F.lit(late).cast("bigint"))
+
+
 @register(over_flights("""
 SELECT time_bucket(INTERVAL 2 HOUR, execution_date, TIMESTAMP '1970-01-01') AS window_start,
        concat_ws(',', CASE WHEN bool_or(origin_airport = 'NCE') THEN NULL ELSE 'NCE' END,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# All names below are those of the documents and tables that exist already.
 FLIGHT_COLUMNS = (
     "flight_id",
     "flight_number",

@@ -1,5 +1,5 @@
-"""Structured Streaming: incremental snapshot ingest, dedupe, coverage."""
+"""Structured Streaming: incremental snapshot ingest, dedupe, newest row per key, coverage."""
 
-from .streams import batch_folder, coverage_stream, dedupe_stream, file_stream, run_available, snapshot_stream
+from .streams import batch_folder, coverage_stream, dedupe_stream, dropped_rows, file_stream, newest_stream, run_available, snapshot_stream
 
-__all__ = ["batch_folder", "coverage_stream", "dedupe_stream", "file_stream", "run_available", "snapshot_stream"]
+__all__ = ["batch_folder", "coverage_stream", "dedupe_stream", "dropped_rows", "file_stream", "newest_stream", "run_available", "snapshot_stream"]

@@ -6,7 +6,20 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from delaylake.streaming import batch_folder, coverage_stream, dedupe_stream, file_stream, run_available, snapshot_stream
+import pytest
+
+from delaylake.sinks.versions import VersionedTable
+from delaylake.streaming import (
+    batch_folder,
+    coverage_stream,
+    dedupe_stream,
+    dropped_rows,
+    file_stream,
+    newest_stream,
+    run_available,
+    snapshot_stream,
+    streams,
+)
 
 DDL = "flight_id string, date_photo date, origin_airport string"
 D = dt.date(2026, 3, 7)
@@ -75,10 +88,109 @@ def test_a_replayed_batch_adds_nothing(spark, lake, tmp_path):
 
     assert run() == [("a",), ("b",)]
     shutil.rmtree(checkpoint / "commits")  # as after a crash between a batch's write and its commit
-    shutil.rmtree(tmp_path / "checkpoint-landed" / "published")
     assert run() == [("a",), ("b",)]
 
 
+def test_a_run_that_ends_before_it_publishes_leaves_its_rows_to_the_next(spark, lake, tmp_path, monkeypatch):
+    landing, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
+    lake.create("raw", "t", DDL, ("date_photo", "origin_airport"))
+
+    def run():
+        snapshot_stream(lake, file_stream(spark, str(landing), DDL), "raw", "t", checkpoint)
+        return rows_of(lake.table("raw", "t").select("flight_id"))
+
+    land(spark, landing, [("a", D, "NCE")], DDL)
+    with monkeypatch.context() as broken:
+        broken.setattr(streams, "replace_snapshots", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            run()
+    land(spark, landing, [("b", D, "LYS")], DDL)
+    assert run() == [("a",), ("b",)]
+    with monkeypatch.context() as broken:  # published, but not noted: the next run publishes the same again
+        broken.setattr(streams, "_noted", lambda notes, index, published=None: 1 / 0 if published is not None else original(notes, index))
+        land(spark, landing, [("c", NEXT, "NCE")], DDL)
+        original = ORIGINAL_NOTED
+        with pytest.raises(ZeroDivisionError):
+            run()
+    assert run() == [("a",), ("b",), ("c",)]
+
+
+ORIGINAL_NOTED = streams._noted
+
+
+def test_a_publish_opens_only_folders_of_touched_snapshots(spark, lake, tmp_path, monkeypatch):
+    ddl = DDL + ", load string"
+    landing, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
+    lake.create("raw", "t", DDL, ("date_photo", "origin_airport"))
+    opened = []
+    original = VersionedTable._rows
+    monkeypatch.setattr(
+        VersionedTable, "_rows", lambda self, version, parts: opened.append((self.path, len(parts))) or original(self, version, parts)
+    )
+
+    def run(*polls):
+        for airport, day, load in polls:
+            land(spark, landing, [(f"{airport}{load}{i}", day, airport, load) for i in range(3)], ddl)
+        opened.clear()
+        stream = file_stream(spark, str(landing), ddl, max_files=1)
+        snapshot_stream(lake, stream, "raw", "t", checkpoint, poll=F.col("load"))
+        return [n for path, n in opened if path.endswith("-landed")]
+
+    landed = VersionedTable(spark, f"{checkpoint}-landed")
+    assert run(("NCE", D, "1"), ("LYS", D, "1"), ("NCE", NEXT, "1"), ("LYS", NEXT, "1")) == [4]
+    # One snapshot of four is polled again: one folder is read, and that of the superseded poll goes.
+    assert run(("LYS", NEXT, "2")) == [1]
+    assert len(landed.current().parts) == 4
+    # A part of the same poll joins the folder that holds the rest of it.
+    assert run(("LYS", NEXT, "2")) == [2]
+    assert run() == []
+    expected = {f"{a}{load}{i}": n for a, load, n in (("NCE", "1", 2), ("LYS", "1", 1), ("LYS", "2", 2)) for i in range(3)}
+    counted = lake.table("raw", "t").groupBy("flight_id").count().collect()
+    assert {r[0]: r[1] for r in counted} == expected
+
+
+def test_newest_row_per_key_leaves_the_state_when_it_is_quiet(spark, tmp_path):
+    ddl = "k string, v int, ts timestamp"
+    start = dt.datetime(2026, 3, 7)
+    at = lambda hours, micros=0: start + dt.timedelta(hours=hours, microseconds=micros)
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+
+    def run(*rows):
+        if rows:
+            spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(str(landing))
+        stream = newest_stream(file_stream(spark, str(landing), ddl, "parquet"), ["k"], "ts", "3 hours", dt.timedelta(hours=2), F.col("v"))
+        write = lambda b, i: b.write.mode("overwrite").parquet(batch_folder(out, i))
+        query = run_available(stream, write, str(tmp_path / "checkpoint"))
+        progress = query.recentProgress[-1]["stateOperators"] if query.recentProgress else [{"numRowsTotal": None}]
+        rows = spark.read.schema(f"{ddl}, late boolean, batch_id int").parquet(out)
+        found = rows_of(rows.select("k", "v", "late", F.col("ts").cast("string")))
+        return found, progress[0]["numRowsTotal"], dropped_rows(query)
+
+    # Nothing is quiet yet; of equal times the larger tie break is held.
+    found, held, _ = run(("a", 1, at(0, 123456)), ("a", 2, at(0, 123456)), ("b", 3, at(0.5)), (None, 4, at(1)), ("a", 0, at(-0.5)))
+    assert (found, held) == ([], 3)
+    # A newer row takes the place of an older one, whatever the order of arrival.
+    found, held, _ = run(("b", 5, at(1)), ("b", 6, at(0.8)))
+    assert (found, held) == ([], 3)
+    # The watermark passes them all at 6 - 3 = 3 hours; they are emitted with microseconds and leave.
+    quiet = [("a", 2, False, "2026-03-07 00:00:00.123456"), ("b", 5, False, "2026-03-07 01:00:00"), (None, 4, False, "2026-03-07 01:00:00")]
+    found, held, _ = run(("c", 7, at(6)))
+    assert (found, held) == (sorted(quiet, key=repr), 1)
+    # Too late: not newer than the watermark. On time: a new row of a key that has left, and one a pause after a held one.
+    found, held, dropped = run(("a", 8, at(3)), ("a", 9, at(3.1)), ("c", 10, at(8)), ("d", 11, None))
+    came = [("c", 7, False, "2026-03-07 06:00:00")]
+    late = [r for r in found if r[2]]
+    assert sorted((r for r in found if not r[2]), key=repr) == sorted(quiet + came, key=repr)
+    assert (len(late) + dropped, held) == (2, 2)
+    # Many keys come and go: the state falls again.
+    _, held, _ = run(*[(f"k{i}", i, at(9)) for i in range(50)])
+    assert held >= 50
+    found, held, _ = run(("z", 0, at(48)))
+    assert held == 1 and len([r for r in found if r[0] and r[0].startswith("k")]) == 50
+    with pytest.raises(ValueError):
+        newest_stream(spark.createDataFrame([], ddl), ["k"], "ts", "3 hours", dt.timedelta(0))
+
+
 def test_dedupe_keeps_one_row_per_key_across_runs(spark, tmp_path):
     ddl = "k string, v int, ts timestamp"
     t = dt.datetime(2026, 3, 7, 6)
