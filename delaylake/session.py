@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,6 +86,20 @@ def release_scratch(spark: SparkSession) -> None:
     _made.clear()
 
 
+@contextmanager
+def releasing(spark: SparkSession, *kept_purposes: str) -> Iterator[None]:
+    """Folders made inside go when the block ends well, but for those of ``kept_purposes``.
+
+    For steps that write several copies on the way to a small result; no frame left over may read from the others.
+    """
+    before = len(_made)
+    yield
+    for path in _made[before:]:
+        if not path.rsplit("/", 1)[-1].rsplit("-", 1)[0] in kept_purposes:
+            remove_folder(spark, path)
+            _made.remove(path)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
