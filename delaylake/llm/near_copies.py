@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import releasing
 from .common import kept_rows, text_of, written
 from .components import connected_components
 from .simhash import majority, near_links, shingle_digests
@@ -18,7 +19,7 @@ SHINGLE = 5  # words
 NUM, DEN = 4, 5  # least Jaccard similarity of two sets of shingles, as a fraction
 PARITIES = 16  # 64-bit words of a set's parity bitmap
 SAMPLED, OFTEN, MOST_COMMON = 64, 3, 50_000  # one text in so many shows which shingles are common; bound of their list
-LEADERS = 4  # members of a bucket that all others are compared with first
+LEADERS = 3  # rounds in which a node is compared with one leader of its buckets, before all pairs left
 
 
 def shingle_set(digests: Sequence[np.ndarray]) -> np.ndarray:
@@ -63,14 +64,14 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 
 _ROWS = pa.schema(
-    [("doc_id", pa.int64()), ("text_sha256", pa.string()), ("node", pa.int64()), ("fp", pa.int64()), ("n", pa.int32()),
-     ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("text_sha256", pa.string()), ("digest", pa.binary()), ("fp", pa.int64()), ("n", pa.int32()),
+     ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())), ("found", pa.list_(pa.int64()))]
 )
-_ROWS_DDL = "doc_id bigint, text_sha256 string, node bigint, fp bigint, n int, bits array<bigint>, prefix array<bigint>"
+_ROWS_DDL = "doc_id bigint, text_sha256 string, digest binary, fp bigint, n int, bits array<bigint>, prefix array<bigint>, found array<bigint>"
 
 
 def _hashed(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """Per row what finds its candidates; ``node`` is one for rows with equal sets."""
+    """Per row its set, the set's 128-bit digest, and what finds its candidates. Texts are hashed here and nowhere else."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,8 +79,9 @@ def _hashed(docs: DataFrame, common: np.ndarray) -> DataFrame:
             for doc_id, sha, text in zip(*(c.to_pylist() for c in batch.columns)):
                 digests = list(shingle_digests(text.encode("utf-8", "replace"), SHINGLE))
                 found = shingle_set(digests)
-                node, fp = (np.uint64(v).astype(np.int64) for v in (xxhash.xxh3_64_intdigest(found.tobytes()), majority(digests)))
-                rows.append((doc_id, sha, node, fp, len(found), _parities(found), _prefix(found, common)))
+                fp = np.uint64(majority(digests)).astype(np.int64)
+                digest = xxhash.xxh3_128_digest(found.tobytes())
+                rows.append((doc_id, sha, digest, fp, len(found), _parities(found), _prefix(found, common), found))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ROWS)], schema=_ROWS)
 
@@ -88,37 +90,31 @@ def _hashed(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, _ROWS_DDL)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        shas, texts = (c.to_pylist() for c in batch.columns)
-        found = [shingle_set(list(shingle_digests(t.encode("utf-8", "replace"), SHINGLE))) for t in texts]
-        yield pa.RecordBatch.from_arrays([pa.array(shas), pa.array(found, pa.list_(pa.int64()))], names=["sha", "found"])
-
-
 def _sizes_fit(n: Column, m: Column) -> Column:
     return DEN * F.least(n, m) >= NUM * F.greatest(n, m)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _enough(shared: Column, total: Column) -> Column:
+    """Sets of ``total`` members together that share ``shared`` are similar enough."""
+    return (NUM + DEN) * shared >= NUM * total
+
+
+def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of nodes whose sets are similar enough.
 
-    Sizes and parity bitmaps refuse pairs that cannot be; the sets of the others are made again from their texts and intersected.
+    Sizes and parity bitmaps refuse pairs that cannot be, before anything is written; the sets of the others are intersected.
+    ``a`` is the node that stands in many pairs, if one does: its set travels once, those of its partners twice.
     """
-    x, y = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
+    x, y = (rows.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
     pairs = pairs.join(x, "a").join(y, "b")
     apart = [F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(PARITIES)]
     total = F.col("n_a") + F.col("n_b")
     may = (NUM + DEN) * sum(apart[1:], apart[0]) <= (DEN - NUM) * total
     left = written(pairs.where(_sizes_fit(F.col("n_a"), F.col("n_b")) & may).select("a", "b", total.alias("total")), "near_candidates")
-    named = left.select(F.col("a").alias("node")).unionByName(left.select(F.col("b").alias("node"))).distinct()
-    wanted = written(nodes.join(named, "node", "left_semi").select("node", F.col("text_sha256").alias("sha")), "near_wanted")
-    text = text_of()
-    texts = docs.select(F.sha2(text.cast("binary"), 256).alias("sha"), text.alias("text"))
-    texts = texts.join(wanted.select("sha"), "sha", "left_semi").dropDuplicates(["sha"])
-    sets = written(texts.mapInArrow(_sets, "sha string, found array<bigint>").join(wanted, "sha").select("node", "found"), "near_sets")
-    x, y = (sets.select(F.col("node").alias(c), F.col("found").alias(f"found_{c}")) for c in "ab")
+    x, y = (rows.select(F.col("node").alias(c), F.col("found").alias(f"found_{c}")) for c in "ab")
+    x, y = (sets.join(left.select(c).distinct(), c, "left_semi") for sets, c in ((x, "a"), (y, "b")))
     shared = F.size(F.array_intersect("found_a", "found_b"))
-    return left.join(x, "a").join(y, "b").where((NUM + DEN) * shared >= NUM * F.col("total")).select("a", "b")
+    return left.join(y, "b").join(x, "a").where(_enough(shared, F.col("total"))).select("a", "b")
 
 
 def _grid_pairs(nodes: DataFrame) -> DataFrame:
@@ -126,52 +122,93 @@ def _grid_pairs(nodes: DataFrame) -> DataFrame:
     least = written(nodes.groupBy("fp").agg(F.min("node").alias("least")), "near_fp_nodes")
     same = nodes.join(least, "fp").select(F.col("least").alias("a"), F.col("node").alias("b"))
     a, b = (least.select(F.col("fp").alias(c), F.col("least").alias(f"least_{c}")) for c in "ab")
-    return same.unionByName(near_links(least).join(a, "a").join(b, "b").select(F.col("least_a").alias("a"), F.col("least_b").alias("b")))
+    pairs = same.unionByName(near_links(least).join(a, "a").join(b, "b").select(F.col("least_a").alias("a"), F.col("least_b").alias("b")))
+    return pairs.where("a <> b").distinct()
 
 
-def _leader_pairs(entries: DataFrame) -> DataFrame:
-    """Every node of a bucket with a few members of it, each the least under some hash; rows grow with the entries."""
-    leaders = [F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"leader_{i}") for i in range(LEADERS)]
-    rows = entries.join(entries.groupBy("shingle").agg(*leaders).hint("merge"), "shingle")
-    return rows.select(F.explode(F.array(*[f"leader_{i}" for i in range(LEADERS)])).alias("a"), F.col("node").alias("b"))
+def _entries(nodes: DataFrame) -> DataFrame:
+    """``shingle, node, n, pos, short``: where each node can be found, and at which place of the common order.
 
+    Of two similar sets the first shared shingle stands in the first fifth of both; in the one that is not larger it stands in
+    the first ninth, since both share 4/9 of their sum, which is 8/9 of the smaller at least. ``short`` marks that part.
+    """
+    smaller = F.ceil(2 * NUM * F.col("n") / (NUM + DEN))
+    rows = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
+    return rows.select("shingle", "node", "n", "pos", (F.col("pos") <= F.col("n") - smaller).alias("short"))
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+def _can_link(x: str, y: str) -> Column:
+    """Two entries of a bucket, as the first shingle that the sets share, allow them to be similar enough."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    most = F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos"))
+    roles = ((n > m) | F.col(f"{x}.short")) & ((m > n) | F.col(f"{y}.short"))
+    return (F.col(f"{x}.component") != F.col(f"{y}.component")) & _sizes_fit(n, m) & roles & _enough(most, n + m)
 
-def _buckets(entries: DataFrame, column: str) -> DataFrame:
-    """The entries of shingles under which ``column`` has more than one value."""
-    several = entries.groupBy("shingle").agg(F.min(column).alias("__least"), F.max(column).alias("__most")).where("__least <> __most")
-    return entries.join(several.select("shingle").hint("merge"), "shingle", "left_semi")
+
+def _buckets(entries: DataFrame) -> DataFrame:
+    """The entries of shingles that several components have, one of them in its first ninth."""
+    several = entries.groupBy("shingle").agg(
+        F.min("component").alias("__least"), F.max("component").alias("__most"), F.max("short").alias("__short")
+    )
+    several = several.where("__least <> __most AND __short").select("shingle")
+    return entries.join(several.hint("merge"), "shingle", "left_semi")
+
+
+def _leader_pairs(open_: DataFrame, seed: int) -> DataFrame:
+    """Every node with that leader of its buckets which it meets most often; a bucket's leader is the least under some hash."""
+    named = F.struct("node", "n", "pos", "short", "component")
+    leaders = open_.groupBy("shingle").agg(F.min_by(named, F.xxhash64("node", F.lit(seed))).alias("leader"))
+    met = open_.alias("x").join(leaders.select("shingle", "leader.*").hint("merge").alias("y"), "shingle").where(_can_link("x", "y"))
+    times = met.groupBy(F.col("y.node").alias("a"), F.col("x.node").alias("b")).agg(F.count("*").alias("times"))
+    return times.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
+
+
+def _rest_pairs(open_: DataFrame) -> DataFrame:
+    """All pairs of nodes that some bucket still allows; a passage that does not make its carriers similar allows none of them,
+    once it stands behind what is their own."""
+    met = open_.alias("x").join(open_.alias("y").hint("merge"), "shingle").where((F.col("x.node") < F.col("y.node")) & _can_link("x", "y"))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """``doc_id, text_sha256, component`` for every row.
 
     Documents link when the Jaccard similarity of their sets of five-word shingles is at least 4/5; a component is what links
-    reach. Sets so similar share a shingle among the first fifth of each in any common order, so every link has a bucket where
-    both stand. Fingerprints within two bits and a few leaders per bucket join most of a large group first, each pair verified; then
-    all pairs of a bucket are verified that no link has joined yet, so no link between components is lost and a group of
-    mutual copies makes no pairs of all its members. Texts of fewer words are one shingle, those without words equal.
+    reach. Sets with one 128-bit digest are one node. Sets so similar share a shingle in a prefix of each in a common order,
+    so every link has a bucket where both stand, at places that allow it. Fingerprints within two bits, then one leader per node
+    and round, join most of a large group first, each pair verified; then all pairs of a bucket are verified that no link has
+    joined yet, so no link between components is lost and a group of mutual copies makes no pairs of all its members.
+
+    A missing text counts as empty; texts of fewer words are one shingle, those without words equal. Repeated rows repeat in the
+    result, other columns are not read, and an empty table gives an empty result.
     """
-    rows = written(_hashed(docs, common_shingles(docs)), "near_rows")
-    nodes = written(rows.drop("doc_id").dropDuplicates(["node"]), "near_nodes")
-    plain = nodes.select("node", "n", "bits", "text_sha256")
-    entries = nodes.select(F.explode("prefix").alias("shingle"), "node", "n")
-    entries = written(_buckets(entries, "node"), "near_entries")
-    first = written(_ordered(_grid_pairs(nodes.select("node", "fp")).unionByName(_leader_pairs(entries))), "near_first")
-    edges = written(verified(first, plain, docs), "near_edges")
-    joined = written(connected_components(edges), "near_joined")
-    placed = entries.join(joined, "node", "left").select("shingle", "node", "n", F.coalesce("component", "node").alias("component"))
-    open_ = written(_buckets(placed, "component"), "near_open")
-    other = open_.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("__component"))
-    rest = open_.withColumnRenamed("node", "a").join(other.hint("merge"), "shingle")
-    rest = rest.where((F.col("component") < F.col("__component")) & _sizes_fit(F.col("n"), F.col("m"))).select("a", "b")
-    rest = written(_ordered(rest).join(first, ["a", "b"], "left_anti"), "near_rest")
-    edges = edges.unionByName(verified(rest, plain, docs))
-    named = written(connected_components(edges), "near_components")
-    return rows.join(named, "node", "left").select("doc_id", "text_sha256", F.coalesce("component", "node").alias("component"))
+    spark = docs.sparkSession
+    with releasing(spark, "near_rows", "near_components"):
+        hashed = _hashed(docs, common_shingles(docs)).withColumn("node", F.monotonically_increasing_id())
+        rows = written(hashed, "near_rows")
+        least = written(rows.groupBy("digest").agg(F.min("node").alias("least")), "near_digests")
+        equal = rows.select("digest", F.col("node").alias("b")).join(least, "digest").where("least <> b")
+        nodes = rows.join(least.select(F.col("least").alias("node")), "node", "left_semi")
+        entries = _entries(nodes.select("node", "n", "prefix")).withColumn("component", F.col("node"))
+        entries = written(_buckets(entries), "near_entries")
+        pairs = written(_grid_pairs(nodes.select("node", "fp")), "near_pairs")
+        edges, tried = written(verified(pairs, rows), "near_edges"), pairs
+        open_ = entries
+        for seed in range(LEADERS + 1):
+            joined = written(connected_components(edges), "near_joined")
+            placed = open_.drop("component").join(joined, "node", "left")
+            open_ = written(_buckets(placed.withColumn("component", F.coalesce("component", "node"))), "near_open")
+            if open_.isEmpty():
+                break
+            pairs = _leader_pairs(open_, seed) if seed < LEADERS else _rest_pairs(open_)
+            known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            pairs = written(pairs.join(known, ["a", "b"], "left_anti"), "near_pairs")
+            edges = edges.unionByName(written(verified(pairs, rows), "near_edges"))
+            tried = tried.unionByName(pairs)
+        edges = edges.unionByName(equal.select(F.col("least").alias("a"), "b"))
+        named = written(connected_components(edges), "near_components")
+    narrow = rows.select("doc_id", "text_sha256", "node")
+    return narrow.join(named, "node", "left").select("doc_id", "text_sha256", F.coalesce("component", "node").alias("component"))
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:

@@ -85,3 +85,33 @@ def test_odd_rows_and_no_rows(spark):
     left = without_near_copies(odd_documents(spark)).collect()
     assert sorted(str(r.doc_id) for r in left) == survivors(odd_rows())
     assert without_near_copies(spark.createDataFrame([], COLUMNS)).collect() == []
+
+
+def test_a_passage_that_most_of_a_text_is_makes_no_pairs_of_all_its_carriers(spark, monkeypatch):
+    """Texts of 13 own words and one passage of 84: similar to 0.75 only, and so many that all pairs would show."""
+    monkeypatch.setattr(module, "SAMPLED", 1)
+    passage = words(77, 84, 5000)
+    counted = []
+    original = module._rest_pairs
+
+    def counting(open_):
+        pairs = original(open_)
+        counted.append((open_.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(module, "_rest_pairs", counting)
+    rows = [(i, f"{words(5000 + i, 13, 10**6)} {passage}", "en", "a") for i in range(400)]
+    rows += [(1000 + i, f"{words(5000 + i, 12, 10**6)} extra {passage}", "en", "a") for i in range(0, 400, 40)]  # copies of some
+    left = sorted(str(r.doc_id) for r in without_near_copies(odd_documents(spark, rows)).collect())
+    assert left == sorted(str(i) for i in range(400))
+    assert all(pairs <= 400 for _, pairs in counted)
+
+
+def test_scratch_copies_go_and_the_result_stays(spark):
+    from delaylake import session
+
+    before = len(session._made)
+    found = module.near_copies(odd_documents(spark, planted()[:60]))
+    names = {p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in session._made[before:]}
+    assert names == {"near_rows", "near_components"}
+    assert found.count() == 60
