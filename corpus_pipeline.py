@@ -18,6 +18,7 @@ from delaylake.llm.mixing import mixed_documents  # noqa: E402
 from delaylake.llm.near_copies import without_near_copies  # noqa: E402
 from delaylake.llm.packing import default_tokenizer, pack_documents  # noqa: E402
 from delaylake.llm.quality_rules import clean_documents  # noqa: E402
+from delaylake.session import releasing  # noqa: E402
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +46,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and their places in sequences of at most 1024 ids."""
+    """Pieces of documents with their ids (unsigned 32 bits, little-endian) and their places in sequences of at most 1024 ids."""
     configure(spark)
-    return pack_documents(docs, default_tokenizer())
+    return pack_documents(docs, default_tokenizer(), with_ids=True)
 
 
 STAGES = [
@@ -63,8 +64,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``."""
+    """All stages over the table ``documents``; what a stage writes on its way goes when its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        with releasing(spark, f"pipeline_{name}"):
+            docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
     return docs
