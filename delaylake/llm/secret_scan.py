@@ -34,9 +34,13 @@ NAME_SCORES = {
 }
 PLACEHOLDERS = {"changeme", "example", "password", "secret", "token", "none", "null", "true", "false", "undefined", "todo", "xxx"}
 REPORT_FROM = 5
+MOST_VALUE = 1024  # a longer sum of literals is no secret, and stands for no name
 
-_LINE = re.compile(r"[^\n]*[=:][^\n]*")
-_NAME = re.compile(r"""(?<![\w$.\-])([A-Za-z_$][\w$.\-]*)["'`]?\]?[ \t]*(?::=|=>|=(?![=>])|:(?![:/=]))[ \t]*""")
+# A name, the type that some languages declare between it and the sign, and the sign of an assignment.
+_NAME = re.compile(
+    r"""(?<![\w$.\-])([A-Za-z_$][\w$.\-]*+)["'`]?\]?[ \t]*+"""
+    r"""(?::[ \t]*+[A-Za-z_][\w.<>\[\]|? ]{0,60}(?<! )[ \t]*+=(?![=>])|:=|=>|=(?![=>])|:(?![:/=]))[ \t]*+"""
+)
 _QUOTED = re.compile(r"""(["'`])((?:\\.|(?!\1)[^\\\n])*)\1""")
 _BARE = re.compile(r"""[^\s,;#"'`(){}\[\]+]+""")
 _JOIN = re.compile(r"[ \t]*\+[ \t]*")
@@ -83,18 +87,26 @@ def _value(text: str, at: int, known: dict[str, Constant]) -> Constant | None:
         if not more:
             break
         at = more.end()
-    return Constant("".join(parts), tuple(spans)) if parts else None
+    return Constant("".join(parts), tuple(dict.fromkeys(spans))) if parts else None
 
 
 def assignments(text: str) -> Iterator[tuple[str, Constant]]:
     """Names and the constants assigned to them, in order; a name later used as a value stands for its constant."""
     known: dict[str, Constant] = {}
-    for line in _LINE.finditer(text):
-        for m in _NAME.finditer(text, line.start(), line.end()):
+    end = -1
+    for line in text.split("\n"):
+        start, end = end + 1, end + 1 + len(line)
+        if "=" not in line and ":" not in line:
+            continue
+        for m in _NAME.finditer(text, start, end):
             value = _value(text, m.end(), known)
-            if value is not None:
+            if value is None:
+                continue
+            if len(value.value) <= MOST_VALUE:
                 known[m[1]] = value
-                yield m[1], value
+            else:
+                known.pop(m[1], None)
+            yield m[1], value
 
 
 def name_score(name: str) -> int:
@@ -150,7 +162,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, n_literal, base_sha256, spans`` for every row.
 
     Spans count code points, ends exclusive, of whole texts; a missing text is empty and has none. Texts are scanned where
-    they are read, repeated rows alike, in time linear in their length. Other columns are not read; an empty table
+    they are read, repeated rows alike, in time linear in their length, lines of any length included. Other columns are not read; an empty table
     gives an empty result.
     """
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_scan, _OUT_DDL)
