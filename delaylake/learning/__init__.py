@@ -1,5 +1,6 @@
 """Delay models on Spark ML: split, preprocessing, model sets, metrics, promotion and scoring."""
 
+from .scorers import Scorer, compiled
 from .evaluation import classification_metrics, evaluate_predicted_labels, regression_metrics
 from .models import (
     classifier_estimators,
@@ -15,8 +16,10 @@ from .split import stratified_split, with_split
 from .training import train_classifiers, train_regressors
 
 __all__ = [
+    "Scorer",
     "classification_metrics",
     "classifier_estimators",
+    "compiled",
     "detached",
     "display_name",
     "evaluate_predicted_labels",

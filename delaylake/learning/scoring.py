@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions import clip_and_round
 from ..operators.joins import semi_join
+from .scorers import predicted
 
 
 def score(df: DataFrame, model: PipelineModel, output: str = "is_delayed") -> DataFrame:
     """The rows with the predicted class as boolean."""
-    return model.transform(df).select(*df.columns, (F.col("prediction") == 1.0).alias(output))
+    return predicted(df, model, output)
 
 
 def prediction_rows(
@@ -55,6 +56,5 @@ def minutes_scores(flights: DataFrame, predictions: DataFrame, model: PipelineMo
         {"flight_number": "flight_number", "origin_airport": "origin_airport"},
         as_text=True,
     )
-    return model.transform(candidates).select(
-        *flights.columns, clip_and_round(F.col("prediction")).alias("predicted_delay_minutes")
-    )
+    scored = predicted(candidates.select(*flights.columns), model, "predicted_minutes")
+    return scored.select(*flights.columns, clip_and_round(F.col("predicted_minutes")).alias("predicted_delay_minutes"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -23,8 +24,10 @@ from ...learning import (
     typed_features,
     with_split,
 )
+from ...learning.scorers import Scorer
 from ...learning.training import train_classifiers, train_regressors
-from ...operators import add_flight_features, delayed_with_target, enrich_with_weather, reconcile, select_features
+from ...functions import clip_and_round
+from ...operators import add_flight_features, delayed_with_target, enrich_with_weather, reconcile, select_features, semi_join
 from ...session import written
 from .base import flights, over_flights, register
 from .event_flights import event_predictions, event_weather
@@ -177,6 +180,38 @@ def score_minutes(spark, sf_dir):
     )
 
 
+def _stored(name: str) -> Scorer:
+    """A scorer as a training run leaves it: features, weights and trees."""
+    return Scorer.from_json((Path(__file__).parent / "scorers" / f"{name}.json").read_text())
+
+
+_OBSERVED = """observed AS (
+  SELECT f.*, w.* EXCLUDE (date, airport_iata) FROM flagged f
+  LEFT JOIN weather w ON f.date = w.date AND f.origin_airport = w.airport_iata
+)"""
+
+
+@register(over_flights(f"SELECT flight_id, {_stored('late').prediction_sql()} AS is_delayed FROM observed", _OBSERVED))
+def score_flights_stored(spark, sf_dir):
+    """A stored logistic model over every flight, as one expression."""
+    rows = _features(spark, sf_dir)
+    return rows.select("flight_id", _stored("late").column().alias("is_delayed"))
+
+
+@register(over_flights(f"""
+SELECT flight_id, round_even(greatest({_stored('minutes').prediction_sql()}, 0), 1) AS predicted_delay_minutes
+FROM observed WHERE (flight_number, origin_airport) IN (
+  SELECT flight_number, origin_airport FROM predictions WHERE is_delayed AND flight_date = DATE '2024-01-15'
+)""", _OBSERVED))
+def score_minutes_stored(spark, sf_dir):
+    """Stored boosted trees over the flights predicted late on one day."""
+    rows = _features(spark, sf_dir)
+    day = F.lit(dt.date(2024, 1, 15))
+    late = event_predictions(rows).filter(F.col("is_delayed") & (F.col("flight_date") == day))
+    wanted = semi_join(rows, late, {"flight_number": "flight_number", "origin_airport": "origin_airport"})
+    return wanted.select("flight_id", clip_and_round(_stored("minutes").column()).alias("predicted_delay_minutes"))
+
+
 @register(over_flights("""
 SELECT flight_id, CAST(place AS DOUBLE) AS origin_index, round((k - mean_k) / dev_k, 6) AS k_scaled,
        round((coalesce(dep_hour, mean_hour) - mean_hour) / dev_hour, 6) AS hour_scaled

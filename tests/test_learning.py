@@ -7,13 +7,15 @@ import random
 
 import pytest
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from delaylake.learning import (
+    Scorer,
     classification_metrics,
     classifier_estimators,
+    compiled,
     detached,
     display_name,
     minutes_scores,
@@ -30,6 +32,7 @@ from delaylake.learning import (
     typed_features,
     with_split,
 )
+from delaylake.learning.scorers import predicted
 
 
 def test_split_is_stratified_exact_and_repeatable(spark):
@@ -198,3 +201,60 @@ def test_model_sets_and_names():
         "LinearRegression", "RandomForestRegressor", "GradientBoostingRegressor", "XGBRegressor",
     ]
     assert display_name("XGBClassifier") == "XGBoost" and display_name("GradientBoostingClassifier") == "GradientBoosting"
+
+
+def _odd_rows(seed, n):
+    """Texts with quotes, NULL in every column, a number that is not one, a column without spread."""
+    rng = random.Random(seed)
+    text = lambda: rng.choice(["a", "b's", "c d", "é", None])
+    number = lambda: rng.choice([None, float("nan"), *[rng.uniform(-5, 5) for _ in range(20)]])
+    rows = []
+    for i in range(n):
+        t, x, code = text(), number(), rng.choice([None, 1, 2, 30])
+        signal = (x or 0.0) * 2 + 3 * (t == "a") if x == x else 0.0
+        rows.append((i, t, code, x, number(), 7, signal + rng.gauss(0, 1)))
+    return rows
+
+
+_ODD_DDL = "id int, t string, code int, x double, z double, flat int, y double"
+
+
+ESTIMATORS = {
+    "logistic": lambda: LogisticRegression(labelCol="label", threshold=0.4),
+    "boosted classes": lambda: GBTClassifier(labelCol="label", maxIter=8, maxDepth=3, seed=1),
+    "linear": lambda: LinearRegression(labelCol="y"),
+    "tree": lambda: DecisionTreeRegressor(labelCol="y", maxDepth=6),
+    "forest": lambda: RandomForestRegressor(labelCol="y", numTrees=7, maxDepth=4, seed=1),
+    "boosted numbers": lambda: GBTRegressor(labelCol="y", maxIter=8, maxDepth=3, seed=1),
+}
+
+
+@pytest.mark.parametrize("kind", ESTIMATORS)
+def test_a_compiled_model_predicts_what_its_stages_do(spark, kind):
+    estimator = ESTIMATORS[kind]()
+    train = spark.createDataFrame(_odd_rows(1, 300), _ODD_DDL).withColumn("label", (F.col("y") > 1).cast("double"))
+    model = Pipeline(stages=[*preprocessing_stages(["t", "code"], ["x", "z", "flat"]), estimator]).fit(train)
+    rows = spark.createDataFrame([*_odd_rows(2, 200), (999, "unseen", 99, None, None, None, 0.0)], _ODD_DDL)
+    scorer = compiled(model)
+    again = Scorer.from_json(scorer.to_json())
+    assert again == scorer and set(scorer.columns) == {"t", "code", "x", "z", "flat"}
+    expected = {r.id: r.prediction for r in model.transform(rows).select("id", "prediction").collect()}
+    for r in rows.select("id", again.column().alias("p")).collect():
+        assert (float(r.p) if isinstance(r.p, bool) else r.p) == pytest.approx(expected[r.id], abs=1e-9), r
+    scored = predicted(rows, model, "found")
+    assert scored.columns == [*rows.columns, "found"]
+    assert "UDF" not in scored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_models_without_a_compiled_form_go_through_their_stages(spark, monkeypatch):
+    train = spark.createDataFrame(_odd_rows(3, 200), _ODD_DDL).withColumn("label", (F.col("y") > 1).cast("double"))
+    stages = preprocessing_stages(["t"], ["x"])
+    forest = Pipeline(stages=[*stages, RandomForestClassifier(labelCol="label", numTrees=3, maxDepth=2, seed=1)]).fit(train)
+    trees = Pipeline(stages=[*stages, GBTRegressor(labelCol="y", maxIter=2, maxDepth=2, seed=1)]).fit(train)
+    assert compiled(forest) is None and compiled(trees) is not None
+    found = {r.id: r.p for r in predicted(train, forest, "p").collect()}
+    assert found == {r.id: r.prediction == 1.0 for r in forest.transform(train).collect()}
+    monkeypatch.setattr("delaylake.learning.scorers.MOST_NODES", 1)
+    assert compiled(trees) is None
+    numbers = {r.id: r.p for r in predicted(train, trees, "p").collect()}
+    assert numbers == {r.id: r.prediction for r in trees.transform(train).collect()}
