@@ -29,6 +29,8 @@ BATCH_BYTES = "4m"
 def configure(spark: SparkSession) -> SparkSession:
     configure_library(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    # Steps are written and read again, so shuffle files of a finished one serve nobody.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
