@@ -19,7 +19,7 @@ SHINGLE = 5  # words
 NUM, DEN = 4, 5  # least Jaccard similarity of two sets of shingles, as a fraction
 PARITIES = 16  # 64-bit words of a set's parity bitmap
 SAMPLED, OFTEN, MOST_COMMON = 64, 3, 50_000  # one text in so many shows which shingles are common; bound of their list
-LEADERS = 3  # rounds in which a node is compared with one leader of its buckets, before all pairs left
+LEADERS = 2  # rounds in which a node is compared with one leader of its buckets, before all pairs left
 
 
 def shingle_set(digests: Sequence[np.ndarray]) -> np.ndarray:
@@ -170,6 +170,15 @@ def _rest_pairs(open_: DataFrame) -> DataFrame:
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
+def _labels(edges: DataFrame) -> DataFrame:
+    """``node, component`` after one look at the neighbours and one at theirs: nodes of one label are linked, though not all that
+    are linked have one label yet. Enough to see what needs no further comparison."""
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    further = least.select(F.col("a").alias("least"), F.col("least").alias("component"))
+    return least.join(further, "least").select(F.col("a").alias("node"), "component")
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """``doc_id, text_sha256, component`` for every row.
 
@@ -195,12 +204,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
         edges, tried = written(verified(pairs, rows), "near_edges"), pairs
         open_ = entries
         for seed in range(LEADERS + 1):
-            joined = written(connected_components(edges), "near_joined")
+            last = seed == LEADERS
+            joined = written(connected_components(edges) if last else _labels(edges), "near_joined")
             placed = open_.drop("component").join(joined, "node", "left")
             open_ = written(_buckets(placed.withColumn("component", F.coalesce("component", "node"))), "near_open")
-            if open_.isEmpty():
-                break
-            pairs = _leader_pairs(open_, seed) if seed < LEADERS else _rest_pairs(open_)
+            pairs = _rest_pairs(open_) if last else _leader_pairs(open_, seed)
             known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = written(pairs.join(known, ["a", "b"], "left_anti"), "near_pairs")
             edges = edges.unionByName(written(verified(pairs, rows), "near_edges"))
