@@ -11,7 +11,7 @@ from ..session import configure as configure_library
 from ..session import shared_folder, written
 
 __all__ = [
-    "ORACLES", "QUERIES", "configure", "kept_rows", "register", "row_key", "shared_folder", "table", "text_of",
+    "ORACLES", "QUERIES", "configure", "kept_rows", "register", "row_digest", "row_key", "shared_folder", "table", "text_of",
     "words_of", "written",
 ]
 
@@ -69,6 +69,12 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.struct(F.col(c)) for c in columns], *[F.col(c).isNull() for c in columns])
 
 
+def row_digest(*columns: str) -> Column:
+    """A 128-bit key of a row's identity, for steps that take rows of one key for the same."""
+    parts = [F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.md5(F.concat(*parts))
+
+
 def kept_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` named in ``kept`` (``doc_id``, ``text_sha256``), each once, with all their columns.
 

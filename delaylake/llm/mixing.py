@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import register, row_key, table, text_of, words_of, written
+from .common import register, row_digest, table, text_of, words_of, written
 
 WEIGHTS = (1.0, 2.0, 3.0)  # by source in code point order, repeating
 MAX_EPOCHS = 3
@@ -65,7 +65,7 @@ def mix_sources(
         F.col("doc_id"),
         F.col("source"),
         F.size(words_of(text)).cast("bigint").alias("size"),
-        row_key("doc_id", "text").alias("__row"),
+        row_digest("doc_id", "text").alias("__row"),
         (letter_share(text) if quality is None else quality).cast("double").alias("__quality"),
     )
     rows = rows.select("doc_id", "source", "size", "__row", (-F.log(u) / F.col("__quality")).alias("__key"))
@@ -106,7 +106,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: i
     counts these where the table has that column. Documents without words are never taken.
     """
     taken = mix_sources(docs, weights, most).groupBy("text_key").agg(F.sum("taken").alias("__taken"), F.first("size").alias("__size"))
-    rows = docs.select(F.struct("*").alias("__doc"), row_key("doc_id", "text").alias("text_key")).dropDuplicates(["text_key"])
+    rows = docs.select(F.struct("*").alias("__doc"), row_digest("doc_id", "text").alias("text_key")).dropDuplicates(["text_key"])
     rows = rows.join(taken.where("__taken > 0"), "text_key")
     whole, part = F.floor(F.col("__taken") / F.col("__size")), F.col("__taken") % F.col("__size")
     copies = F.array_repeat(F.lit(0).cast("bigint"), whole.cast("int"))

@@ -86,9 +86,8 @@ def test_mix_on_odd_rows(spark):
     rows = odd_rows()
     docs = odd_documents(spark)
     got = mix_sources(docs).collect()
-    assert sorted((str(r.doc_id), r.size, r.source) for r in got) == sorted(
-        (str(d), len(WORD.findall(t or "")), s) for d, t, _, s in rows
-    ) or len(got) == len(rows)
+    seen = [(r.doc_id, r.size, r.source) for r in got]
+    assert sorted(seen, key=repr) == sorted(((d, len(WORD.findall(t or "")), s) for d, t, _, s in rows), key=repr)
     by_source: dict = {}
     for r in got:
         assert 0 <= r.taken <= 3 * r.size
