@@ -159,15 +159,8 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
 
 
 def judge_quality(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with ``__n_words, __word_chars, __n_symbols, __n_dup_lines, __n_repeat_words,
-    __base_failed, __kept`` (one row per row).
-
-    The base rule rejects documents of fewer than 50 words and those with over half their words in repeated
-    windows of three. Among the rest, each language and source has its own estimate; sources of a language with fewer than
-    ``LEAST_GROUP`` documents share one, and where even that is smaller, one over the documents of all languages serves; only a table
-    of fewer than ``LEAST_TABLE`` loses none. A document goes when its squared distance, made consistent, exceeds ``CUT``. A missing language or source is a group like any other, a missing text
-    has no words. Repeated rows get the same verdict. An empty table gives an empty result.
-    """
+    """All columns of ``docs`` with ``__n_words, __word_chars, __n_symbols, __n_dup_lines, __n_repeat_words`` and the verdict of
+    the base rule, ``__base_failed``: fewer than 50 words, or over half of them in repeated windows of three."""
     judged = base_statistics(docs)
     judged = judged.withColumn(
         "__base_failed",
@@ -179,7 +172,11 @@ def judge_quality(docs: DataFrame) -> DataFrame:
 def quality_verdicts(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, text_sha256``.
 
-    See ``judge_quality`` for the rules; other columns of ``docs`` are not read.
+    The base rule of ``judge_quality`` rejects first. Among the rest, each language and source has its own estimate; sources of a
+    language with fewer than ``LEAST_GROUP`` documents share one, and where even that is smaller, one over the documents of all
+    languages serves; only a table of fewer than ``LEAST_TABLE`` loses none. A document goes when its squared distance, made
+    consistent, exceeds ``CUT``. A missing language or source is a group like any other, a missing text has no words. Repeated
+    rows get the same verdict, other columns are not read, whatever their names, and an empty table gives an empty result.
     """
     narrow = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "text"
