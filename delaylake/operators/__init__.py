@@ -27,8 +27,10 @@ from .kpis import exposition_lines, prediction_mix, run_kpis
 from .lookups import departure_hours, destinations, origins, prediction_lookup, validate_requests
 from .quality import (
     count_stage,
+    head_rows,
     missing_values,
     null_profile,
+    observed_head,
     readiness,
     require_min_rows,
     require_rows,
@@ -38,6 +40,8 @@ from .selection import best_of, best_tag, distinct_sorted, first_match, sort_nul
 from .sets import except_rows, intersect_rows, union_by_name
 
 __all__ = [
+    "head_rows",
+    "observed_head",
     "BatchFunction",
     "RowFunction",
     "add_flight_features",

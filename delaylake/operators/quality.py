@@ -31,6 +31,37 @@ def observed(observation: Observation, df: DataFrame, metrics: Sequence[Column])
         return df.agg(*metrics).first().asDict()
 
 
+def observed_head(df: DataFrame, rows: int = 5, name: str = "head") -> tuple[DataFrame, Observation]:
+    """``df``, and an observation of its first rows, taken while ``df`` is written or otherwise computed.
+
+    Each of the first ``rows`` places is one minimum over all tasks, so a preview costs no second job and never more than
+    ``rows`` rows, whatever the number of tasks. Where the first task with rows has so many, it is the head of the frame.
+    ``head_rows`` reads it.
+    """
+    place = F.monotonically_increasing_id()
+    within = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), _HEAD_OPTIONS)
+    # Only the first rows of a task become text.
+    marked = df.withColumn("__place", place).withColumn("__row", F.when(within < rows, F.struct("__place", text)))
+    observation = Observation(name)
+    firsts = [F.min(F.when(within == i, F.col("__row"))).alias(f"row_{i}") for i in range(rows)]
+    return marked.observe(observation, *firsts).drop("__place", "__row"), observation
+
+
+_HEAD_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def head_rows(df: DataFrame, observation: Observation) -> DataFrame:
+    """What ``observed_head`` saw, as a frame of the schema of ``df``; empty when nothing was."""
+    try:
+        seen = sorted(tuple(v) for v in observation.get.values() if v is not None)
+    except Py4JError:  # nothing is observed of a frame known to be empty
+        seen = []
+    spark = df.sparkSession
+    texts = spark.createDataFrame([(text,) for _, text in seen], "row string")
+    return texts.select(F.from_json("row", df.schema, _HEAD_OPTIONS).alias("r")).select("r.*")
+
+
 def null_profile(
     df: DataFrame, columns: Iterable[str] | None = None, threshold_percent: float | None = None
 ) -> DataFrame:

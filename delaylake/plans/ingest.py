@@ -14,6 +14,7 @@ from ..sinks.lake import Lake
 from ..sinks.snapshots import snapshot_replace
 from ..sinks.tables import load_table
 from ..sources.documents import flatten_flights, flatten_weather
+from ..sources.discovery import content_digest
 from ..sources.files import read_reference_codes
 from ..sources.windows import on_route, reference_day
 
@@ -72,7 +73,24 @@ def _load(
     return loaded
 
 
-def import_reference_codes(lake: Lake, iata_csv: str, weather_csv: str) -> None:
-    """Both code tables, replaced as a whole."""
+def import_reference_codes(lake: Lake, iata_csv: str, weather_csv: str) -> list[str]:
+    """Both code tables, replaced as a whole; a file whose content is that of the last import is skipped.
+
+    The digest of the content is kept with the table, noted after the load: an import that ends in between is repeated.
+    Returns the tables replaced.
+    """
+    replaced = []
     for kind, path, table in (("iata", iata_csv, "iata_delay_codes"), ("weather", weather_csv, "weather_codes")):
-        load_table(read_reference_codes(lake.spark, path, kind), lake.name("ref", table), "replace")
+        name, digest = lake.name("ref", table), content_digest(lake.spark, path)
+        if lake.exists("ref", table):
+            known = {r.key: r.value for r in lake.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+            if known.get(_DIGEST) == digest:
+                logger.info("ref.%s is unchanged", table)
+                continue
+        load_table(read_reference_codes(lake.spark, path, kind), name, "replace")
+        lake.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_DIGEST}' = '{digest}')")
+        replaced.append(table)
+    return replaced
+
+
+_DIGEST = "delaylake.source.digest"

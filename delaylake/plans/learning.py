@@ -34,14 +34,18 @@ logger = logging.getLogger(__name__)
 _LOAD_ORDER = ("execution_date", "flight_id")
 
 
+def log_runs(lake: Lake, runs: DataFrame) -> None:
+    """Rows of the run log (M13); a run that logs again replaces its own rows, so a retry adds none."""
+    lake.create("ml", "runs")
+    lake.replace_partitions("ml", "runs", runs)
+
+
 def _publish(
     lake: Lake, fitted: Sequence[Fitted], best: Fitted, registry_name: str, metric: str, threshold: float, direction: str
 ) -> str | None:
     """Save the best model, log all runs, promote; returns the stage reached."""
     now = dt.datetime.now(dt.timezone.utc)
-    lake.create("ml", "runs")
-    runs = run_rows(lake.spark, fitted, registry_name, now)
-    lake.replace_partitions("ml", "runs", runs)
+    log_runs(lake, run_rows(lake.spark, fitted, registry_name, now))
 
     lake.create("ml", "model_registry")
     base = lake.version("ml", "model_registry")
@@ -120,7 +124,6 @@ def _log_scoring(lake: Lake, run_id: str, champion: dict, mix: DataFrame) -> Non
     metrics = F.create_map(*[part for c in mix.columns for part in (F.lit(c), F.col(c).cast("double"))])
     model = champion["tags"]["model_type"]
     params = F.create_map(F.lit("model_used"), F.lit(model), F.lit("model_path"), F.lit(champion["model_path"]))
-    lake.create("ml", "runs")
     run = mix.select(
         F.lit(run_id).alias("run_id"),
         F.lit(f"{model}_prediction").alias("model"),
@@ -129,7 +132,7 @@ def _log_scoring(lake: Lake, run_id: str, champion: dict, mix: DataFrame) -> Non
         F.current_timestamp().alias("logged_at"),
         F.lit(champion["name"]).alias("experiment"),
     )
-    lake.replace_partitions("ml", "runs", run)
+    log_runs(lake, run)
     tags = {
         "last_prediction_run_id": run_id,
         "last_num_predictions": str(counts["num_predictions"]),

@@ -76,6 +76,42 @@ def stage_flights(lake: Lake, mode: str = "raw", gate: bool = True, as_of: Colum
     )
 
 
+def restage_flights(lake: Lake, mode: str = "raw") -> int:
+    """All raw snapshots that changed since the last call, restaged; returns the partitions read.
+
+    The raw table's versions tell which (date, airport) partitions were written since the version that staging was last
+    made from, and only those are opened. Within a snapshot and airport one row per business key stays, the one loaded
+    last. Partitions that have left the raw table leave staging, in the same commit, which also notes the version.
+    """
+    table = "raw_flights" if mode == "raw" else "scheduled_flights"
+    lake.create("staging", table)
+    raw = lake.versioned("raw", table).current()
+    staging = lake.versioned("staging", table).current()
+    done = int(staging.notes.get(_RESTAGED, 0))
+    changed = set(lake.versioned("raw", table).changed_since(done, raw.number))
+    gone = {tuple(staging.spec(key)[k] for k in raw.keys) for key in staging.parts} - set(raw.parts)
+    if not changed and not gone:
+        return 0
+    rows = lake.table("raw", table, raw.number, lambda spec: tuple(spec[k] for k in raw.keys) in changed)
+    typed = convert_dates(rows, FLIGHT_TIMESTAMPS, ("date",))
+    typed = convert_types(typed, texts=FLIGHT_TEXTS, booleans={"wifi_enabled": {"Y": True, "N": False}})
+    keys = list(dict.fromkeys([*FLIGHT_KEY, *raw.keys]))
+    written = lake.write("staging", table, drop_duplicates(typed, keys, _newest_last(typed, keys))) if changed else {}
+    lake.commit(
+        "staging",
+        table,
+        written,
+        drop=lambda spec: tuple(spec[k] for k in raw.keys) not in raw.parts,
+        watermark=raw.watermark,
+        notes={_RESTAGED: str(raw.number)},
+        base=staging.number,
+    )
+    return len(changed)
+
+
+_RESTAGED = "restaged"
+
+
 def stage_weather(lake: Lake, mode: str = "raw") -> int:
     """Last raw weather snapshot to staging; null rates above the alarm are logged."""
     table = "raw_weather" if mode == "raw" else "scheduled_weather"

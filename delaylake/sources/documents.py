@@ -80,13 +80,18 @@ def flatten_flights(documents: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def read_weather_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_weather_documents(
+    spark: SparkSession, path: str | list[str], multi_line: bool = True, base_path: str | None = None
+) -> DataFrame:
     """Daily weather documents of all airports in one scan.
 
     The airport is the ``airport_iata=`` folder when the files are laid out that way, otherwise the
-    three letters the file name ends with (``..._NCE.json`` or ``NCE.json``).
+    three letters the file name ends with (``..._NCE.json`` or ``NCE.json``). ``base_path`` is where the folders begin
+    when single files are named.
     """
-    documents = spark.read.schema(WEATHER_DOCUMENT).json(path, multiLine=multi_line, mode="FAILFAST")
+    reader = spark.read.schema(WEATHER_DOCUMENT)
+    reader = reader.option("basePath", base_path) if base_path else reader
+    documents = reader.json(path, multiLine=multi_line, mode="FAILFAST")
     if "airport_iata" in documents.columns:
         return documents
     airport = F.regexp_extract(F.col("_metadata.file_path"), r"([A-Z]{3})\.json[^/]*$", 1)
@@ -120,7 +125,7 @@ def flatten_weather(documents: DataFrame) -> DataFrame:
 def read_json_payload(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
     """One JSON document per file; a missing path gives an empty frame of the given schema."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = load_if_present(lambda: reader.json(path, multiLine=True))
+    df = load_if_present(spark, path, lambda: reader.json(path, multiLine=True))
     return spark.createDataFrame([], schema or StructType([])) if df is None else df
 
 

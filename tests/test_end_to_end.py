@@ -197,3 +197,62 @@ def test_minutes_without_model_or_predictions(lake):
     assert predict_minutes(lake, DAY) == 0
     with pytest.raises(Exception):
         predict_delays(lake, "run", gate=False)
+
+
+def test_restaging_reads_what_changed_and_nothing_else(spark, lake, monkeypatch):
+    from delaylake.plans import restage_flights
+    from delaylake.sinks.versions import VersionedTable
+
+    lake.create("raw", "raw_flights")
+    schema = lake.table("raw", "raw_flights").schema
+    days = [DAY + dt.timedelta(days=i) for i in range(4)]
+
+    def load(day, airport, *numbers, at=6, status="ON_TIME"):
+        empty = {f.name: None for f in schema.fields}
+        rows = [
+            {**empty, "flight_id": str(n), "date": str(day), "status": status, "wifi_enabled": "Y", "date_photo": day,
+             "origin_airport": airport, "execution_date": dt.datetime(2026, 3, 8, at)}
+            for n in numbers
+        ]
+        lake.replace_partitions("raw", "raw_flights", spark.createDataFrame(rows, schema))
+
+    for day in days:
+        for airport in ("NCE", "LYS"):
+            load(day, airport, 1, 2, 2)
+    opened = []
+    original = VersionedTable._rows
+    monkeypatch.setattr(VersionedTable, "_rows", lambda self, v, parts: opened.extend((self.path, p.folder) for p in parts) or original(self, v, parts))
+
+    def restage():
+        opened.clear()
+        count = restage_flights(lake)
+        assert len([1 for path, _ in opened if "/raw/" in path]) == count
+        return count
+
+    assert restage() == 8
+    assert lake.table("staging", "raw_flights").count() == 16  # one row per key
+    assert restage() == 0
+    load(days[1], "LYS", 3, status="LATE")
+    lake.drop_partitions("raw", "raw_flights", lambda spec: spec["date_photo"] == str(days[3]))
+    assert restage() == 1
+    staged = lake.table("staging", "raw_flights").collect()
+    assert sorted({(r.date_photo, r.origin_airport) for r in staged}) == sorted((d, a) for d in days[:3] for a in ("LYS", "NCE"))
+    assert [(r.flight_id, r.status, r.wifi_enabled) for r in staged if (r.date_photo, r.origin_airport) == (days[1], "LYS")] == [("3", "LATE", True)]
+    # A writer that ends before it publishes leaves the change to the next call.
+    load(days[0], "NCE", 9)
+    with monkeypatch.context() as broken:
+        broken.setattr(VersionedTable, "_publish", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            restage_flights(lake)
+    assert restage() == 1
+
+
+def test_the_run_log_survives_retries(spark, lake):
+    from delaylake.plans import log_runs
+
+    ddl = "run_id string, model string, params map<string,string>, metrics map<string,double>, logged_at timestamp, experiment string"
+    row = lambda run, f1: (run, "m", {"a": "b"}, {"f1": f1}, dt.datetime(2026, 3, 8), "e")
+    log_runs(lake, spark.createDataFrame([row("one", 0.1), row("two/%", 0.2)], ddl))
+    log_runs(lake, spark.createDataFrame([row("one", 0.3)], ddl))
+    log_runs(lake, spark.createDataFrame([row("one", 0.3)], ddl))
+    assert sorted((r.run_id, r.metrics["f1"]) for r in lake.table("ml", "runs").collect()) == [("one", 0.3), ("two/%", 0.2)]
