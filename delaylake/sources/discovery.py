@@ -17,7 +17,7 @@ _AIRPORT_FOLDER, _AIRPORT_NAME = r"airport_iata=([A-Z]{3})/", r"([A-Z]{3})\.json
 def file_table(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``path, length, modified, airport`` of the files below ``path``; no content is read.
 
-    ``airport`` is NULL where the path names none. ``glob`` is a pattern for file names.
+    ``airport`` is NULL where the path names none. ``glob`` is a pattern for file names. Empty files do not appear.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -36,9 +36,9 @@ def read_weather_files(
 ) -> DataFrame | None:
     """Weather documents of some airports, or of files changed after ``since``; None when no file is left.
 
-    Empty files are left out. One path per file to open reaches the driver, as in any scan.
+    One path per file to open reaches the driver, as in any scan.
     """
-    files = file_table(spark, path).where("length > 0")
+    files = file_table(spark, path)
     if airports is not None:
         files = files.where(F.col("airport").isin(list(airports)))
     if since is not None:
