@@ -1,6 +1,7 @@
 """Delay models on Spark ML: split, preprocessing, model sets, metrics, promotion and scoring."""
 
 from .scorers import Scorer, compiled
+from .boosting import HistogramBoosting, HistogramBoostingModel
 from .evaluation import classification_metrics, evaluate_predicted_labels, regression_metrics
 from .models import (
     classifier_estimators,
@@ -16,6 +17,8 @@ from .split import stratified_split, with_split
 from .training import train_classifiers, train_regressors
 
 __all__ = [
+    "HistogramBoosting",
+    "HistogramBoostingModel",
     "Scorer",
     "classification_metrics",
     "classifier_estimators",

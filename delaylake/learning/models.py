@@ -20,6 +20,7 @@ from pyspark.sql.types import StringType
 
 from ..constants import MODEL_DISPLAY_NAMES, SEED
 from ..session import shared_folder
+from .boosting import HistogramBoosting
 
 try:  # optional package
     from xgboost.spark import SparkXGBClassifier, SparkXGBRegressor
@@ -72,14 +73,14 @@ def preprocessing_stages(
 
 
 def classifier_estimators(label: str = "label", trees: int = 100, forest_depth: int = 10) -> dict[str, Estimator]:
-    """The four classifiers; without the optional boosting package a second boosted-tree setting stands in.
+    """The four classifiers; without the optional boosting package the library's own second-order trees stand in.
 
     ``forest_depth`` bounds the size of each tree of a forest; Spark allows 30 levels, and memory doubles with each.
     """
     boosted = (
         SparkXGBClassifier(label_col=label, features_col="features")
         if SparkXGBClassifier
-        else GBTClassifier(labelCol=label, maxIter=trees, maxDepth=3, stepSize=0.3, seed=SEED)
+        else HistogramBoosting("binary", labelCol=label, rounds=trees)
     )
     return {
         "RandomForest": RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=forest_depth, seed=SEED),
@@ -94,7 +95,7 @@ def regressor_estimators(label: str = "label", trees: int = 100, forest_depth: i
     boosted = (
         SparkXGBRegressor(label_col=label, features_col="features", n_estimators=trees)
         if SparkXGBRegressor
-        else GBTRegressor(labelCol=label, maxIter=trees, maxDepth=3, stepSize=0.3, seed=SEED)
+        else HistogramBoosting("squared", labelCol=label, rounds=trees)
     )
     return {
         "LinearRegression": LinearRegression(labelCol=label),

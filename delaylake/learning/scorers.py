@@ -16,6 +16,9 @@ from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .boosting import HistogramBoostingModel
+from .trees import Split, node_from, node_plain, splits_in
+
 MOST_NODES = 4_000  # splits of all trees together; larger ensembles are scored by the pipeline itself
 
 
@@ -37,16 +40,6 @@ class Number:
     factor: float
 
 
-@dataclass(frozen=True)
-class Split:
-    """Feature at most ``limit``: the left branch, else the right one; a branch is a split or a number."""
-
-    feature: int
-    limit: float
-    left: Split | float
-    right: Split | float
-
-
 @dataclass(frozen=True)
 class Scorer:
     """Features in order, and what is made of them.
@@ -108,27 +101,21 @@ class Scorer:
     # -- stored -----------------------------------------------------------------------------------
 
     def to_json(self) -> str:
-        def plain(node):
-            return [node.feature, node.limit, plain(node.left), plain(node.right)] if isinstance(node, Split) else node
-
         return json.dumps(
             {
                 "features": [asdict(f) for f in self.features],
                 "base": self.base,
                 "weights": self.weights,
-                "trees": [plain(t) for t in self.trees],
+                "trees": [node_plain(t) for t in self.trees],
                 "threshold": self.threshold,
             }
         )
 
     @classmethod
     def from_json(cls, text: str) -> Scorer:
-        def node(value):
-            return Split(value[0], value[1], node(value[2]), node(value[3])) if isinstance(value, list) else value
-
         data = json.loads(text)
         features = tuple(Category(**f) if "value" in f else Number(**f) for f in data["features"])
-        return cls(features, data["base"], tuple(data["weights"]), tuple(node(t) for t in data["trees"]), data["threshold"])
+        return cls(features, data["base"], tuple(data["weights"]), tuple(node_from(t) for t in data["trees"]), data["threshold"])
 
 
 def _number(value: float) -> str:
@@ -211,6 +198,10 @@ def compiled(model: PipelineModel) -> Scorer | None:
             return Scorer(features, last.intercept, tuple(last.coefficients.toArray().tolist()))
         if isinstance(last, (RandomForestClassificationModel, DecisionTreeClassificationModel)):
             return None  # their leaves hold counts of classes, which the public interface does not give
+        if isinstance(last, HistogramBoostingModel):
+            if sum(map(splits_in, last.trees)) > MOST_NODES:
+                return None
+            return Scorer(features, last.base, trees=tuple(last.trees), threshold=0.0 if last.binary else None)
         if isinstance(last, DecisionTreeRegressionModel):
             trees, weights = [last], [1.0]
         elif isinstance(last, RandomForestRegressionModel):
@@ -236,5 +227,6 @@ def predicted(df: DataFrame, model: PipelineModel, output: str) -> DataFrame:
     if scorer is not None:
         return df.withColumn(output, scorer.column())
     found = F.col("prediction")
-    classifier = hasattr(model.stages[-1], "numClasses")
+    last = model.stages[-1]
+    classifier = last.binary if isinstance(last, HistogramBoostingModel) else hasattr(last, "numClasses")
     return model.transform(df).select(*[F.col(f"`{c}`") for c in df.columns], (found == 1.0 if classifier else found).alias(output))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
@@ -258,3 +259,95 @@ def test_models_without_a_compiled_form_go_through_their_stages(spark, monkeypat
     assert compiled(trees) is None
     numbers = {r.id: r.p for r in predicted(train, trees, "p").collect()}
     assert numbers == {r.id: r.prediction for r in trees.transform(train).collect()}
+
+
+def plain_boosting(xs, ys, binary, rounds, depth, step=0.3, extra=1.0, least=1.0):
+    """The same trees, row by row: every value of every feature is a limit."""
+    units = 1 << 20
+    mean = sum(ys) / len(ys)
+    base = math.log(mean / (1 - mean)) if binary else mean
+    limits = [sorted({x[f] for x in xs})[:-1] for f in range(len(xs[0]))]
+    margins, trees = [base] * len(xs), []
+    score = lambda g, h: g * g / units / (h + extra * units)
+
+    def grow(rows, gs, hs, level):
+        g, h = sum(gs[i] for i in rows), sum(hs[i] for i in rows)
+        best = (1e-6, None)
+        for f, values in enumerate(limits) if level < depth else ():
+            for limit in values:
+                left = [i for i in rows if xs[i][f] <= limit]
+                lg, lh = sum(gs[i] for i in left), sum(hs[i] for i in left)
+                if lh >= least * units and h - lh >= least * units:
+                    gain = score(lg, lh) + score(g - lg, h - lh) - score(g, h)
+                    if gain > best[0] + 1e-12:
+                        best = (gain, (f, limit, left))
+        if best[1] is None:
+            return -step * g / (h + extra * units)
+        f, limit, left = best[1]
+        inside = set(left)
+        right = [i for i in rows if i not in inside]
+        return (f, limit, grow(left, gs, hs, level + 1), grow(right, gs, hs, level + 1))
+
+    def say(tree, x):
+        while isinstance(tree, tuple):
+            tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    for _ in range(rounds):
+        chance = [1 / (1 + math.exp(-m)) for m in margins] if binary else margins
+        gs = [round((c - y) * units) for c, y in zip(chance, ys)]
+        hs = [round(max(c * (1 - c), 1e-16) * units) if binary else units for c in chance]
+        tree = grow(list(range(len(xs))), gs, hs, 0)
+        if not isinstance(tree, tuple):
+            break
+        trees.append(tree)
+        margins = [m + say(tree, x) for m, x in zip(margins, xs)]
+    return base, trees, margins
+
+
+@pytest.mark.parametrize("objective", ["binary", "squared"])
+def test_boosted_trees_equal_a_plain_version(spark, objective, tmp_path):
+    from pyspark.ml.linalg import Vectors
+
+    from delaylake.learning import HistogramBoosting, HistogramBoostingModel, boosting
+
+    rng = random.Random(6)
+    xs = [(rng.randrange(6) / 2, rng.randrange(9) - 4.0, float(rng.random() < 0.3)) for _ in range(260)]
+    signal = [x[0] - (x[1] > 1) * 2 + 1.5 * x[2] * (x[0] > 1) + rng.gauss(0, 0.4) for x in xs]
+    binary = objective == "binary"
+    ys = [float(s > 0.8) for s in signal] if binary else signal
+    df = spark.createDataFrame([(Vectors.dense(x), y) for x, y in zip(xs, ys)] + [(Vectors.dense(xs[0]), None)], ["features", "label"])
+    original, boosting.FOLD = boosting.FOLD, 2  # rows are written again on the way
+    try:
+        model = HistogramBoosting(objective, rounds=5, maxDepth=3, maxBins=256).fit(df.repartition(3))
+    finally:
+        boosting.FOLD = original
+    base, trees, margins = plain_boosting(xs, ys, binary, 5, 3)
+
+    def same(got, expected):
+        if not isinstance(expected, tuple):
+            return got == pytest.approx(expected, abs=1e-5)
+        return (got.feature, got.limit) == expected[:2] and same(got.left, expected[2]) and same(got.right, expected[3])
+
+    assert model.base == pytest.approx(base) and len(model.trees) == len(trees)
+    assert all(same(got, expected) for got, expected in zip(model.trees, trees))
+    model.write().save(str(tmp_path / "model"))
+    again = HistogramBoostingModel.load(str(tmp_path / "model"))
+    found = [r.prediction for r in again.transform(df.where("label IS NOT NULL").coalesce(1)).collect()]
+    expected = [float(m > 0) for m in margins] if binary else margins
+    assert found == pytest.approx(expected, abs=1e-4)
+
+
+def test_boosted_trees_in_a_pipeline(spark):
+    from delaylake.learning import HistogramBoosting
+
+    train = spark.createDataFrame(_odd_rows(4, 300), _ODD_DDL).withColumn("label", (F.col("y") > 1).cast("double"))
+    for estimator in (HistogramBoosting("binary", rounds=3), HistogramBoosting("squared", labelCol="y", rounds=3)):
+        model = Pipeline(stages=[*preprocessing_stages(["t", "code"], ["x", "z", "flat"]), estimator]).fit(train)
+        model = PipelineModel([*model.stages[:-1], detached(spark, model.stages[-1])])
+        expected = {r.id: r.prediction for r in model.transform(train).select("id", "prediction").collect()}
+        scorer = compiled(model)
+        for r in train.select("id", scorer.column().alias("p")).collect():
+            assert float(r.p) == pytest.approx(expected[r.id], abs=1e-9)
+    with pytest.raises(ValueError):
+        Pipeline(stages=[*preprocessing_stages([], ["x"]), HistogramBoosting(rounds=1)]).fit(train.withColumn("label", F.lit(None).cast("double")))
