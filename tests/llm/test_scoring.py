@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 import zlib
 
@@ -13,6 +15,7 @@ from hypothesis import strategies as st
 from delaylake.llm.language_id import SAMPLE_ROWS, identify_languages, training_sample
 from delaylake.llm.mixing import mix_sources, mixed_documents, source_targets
 from delaylake.llm.packing import best_fit, default_tokenizer, encoder, pack_documents
+from delaylake.llm.quality_rules import CONSISTENCY, COVERED, CUT, LEAST_GROUP, STATISTICS, STEPS, UNIT
 from delaylake.llm.quality_rules import clean_documents, quality_verdicts
 from delaylake.llm.secret_scan import KINDS, assignments, base_spans, scan_secrets, secret_spans
 from delaylake.llm.url_filters import RULES, Rule, ShiftAnd, judge_urls
@@ -49,6 +52,72 @@ def test_base_statistics_on_odd_rows(spark):
     assert not any(r.kept for r in got if r.base_failed) and all(r.kept for r in got if not r.base_failed)
 
 
+def plain_verdicts(rows):
+    """The outlier rule in numpy, over documents that pass the base rule: verdict by doc_id, and how near the cut it was."""
+    stats, of_group = {}, {}
+    for doc_id, text, lang, source in rows:
+        n, chars, symbols, lines, repeats, failed = plain_base(text)
+        if failed:
+            continue
+        values = (math.log2(n), math.log2(max(chars / n, 1)), symbols / max(chars, 1), lines / n * 10, repeats / n)
+        limits = [most for _, most in STATISTICS.values()]
+        stats[doc_id] = np.array([math.floor(min(v, m) * UNIT + 0.5) for v, m in zip(values, limits)], float)
+        of_group[doc_id] = (lang, source)
+    floors = np.array([floor for floor, _ in STATISTICS.values()])
+
+    def distances(told, judged):
+        median = np.median(told, axis=0)
+        spread = np.median(np.abs(told - median), axis=0)
+        scaled = (((told - median) / (spread * 1.4826 + floors * UNIT)) ** 2).sum(1)
+        for _ in range(STEPS + 1):
+            steps = np.floor(np.log1p(scaled) * 128 + 0.5)
+            chosen = told[steps <= math.ceil(np.percentile(steps, 100 * COVERED))] / UNIT
+            mean = chosen.mean(0)
+            covariance = (chosen - mean).T @ (chosen - mean) / len(chosen) + np.diag(floors**2)
+            inverse = np.linalg.inv(covariance)
+            far = lambda x: np.einsum("ij,jk,ik->i", x / UNIT - mean, inverse, x / UNIT - mean)
+            scaled = far(told)
+        return far(judged)
+
+    groups, pools = {}, {}
+    for d, g in of_group.items():
+        groups.setdefault(g, []).append(d)
+    for (lang, _), members in groups.items():
+        if len(members) < LEAST_GROUP:
+            pools.setdefault(lang, []).extend(members)
+    out = {}
+    for (lang, _), members in groups.items():
+        told = members if len(members) >= LEAST_GROUP else pools[lang]
+        told = told if len(told) >= LEAST_GROUP else list(stats)
+        found = distances(np.array([stats[d] for d in told]), np.array([stats[d] for d in members]))
+        out |= {d: (x <= CONSISTENCY * CUT, abs(x / (CONSISTENCY * CUT) - 1)) for d, x in zip(members, found)}
+    return out
+
+
+def test_verdicts_equal_a_plain_version(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(1100):
+        lang, source = ("en", rng.choice("ab")) if i < 600 else ("fr", rng.choice("abcdef")) if i < 1050 else (None, None)
+        text = words(i, rng.choice([60, 100, 200, 400]), 5000).split()
+        for _ in range(rng.choice([0, 0, 0, 1, 3, 20])):  # from clean to full of symbols
+            text[rng.randrange(len(text))] += rng.choice("#$%&|")
+        if rng.random() < 0.1:
+            text += text[: rng.randrange(30)]  # some repeat
+        lines = [" ".join(text[a : a + 20]) for a in range(0, len(text), 20)]
+        if rng.random() < 0.1:
+            lines += lines[:1] * rng.randrange(1, 4)
+        rows.append((i, "\n".join(lines), lang, source))
+    expected = plain_verdicts(rows)
+    got = {r.doc_id: r for r in quality_verdicts(odd_documents(spark, rows)).collect()}
+    assert {d for d, r in got.items() if not r.base_failed} == set(expected)
+    kept = {d: got[d].kept for d in expected}
+    assert 20 < sum(not k for k in kept.values()) < 400
+    # Only verdicts within a hundredth of the cut may fall otherwise: steps of quantiles round differently there.
+    assert [d for d, (keep, near) in expected.items() if keep != kept[d] and near > 0.01] == []
+    assert sum(keep != kept[d] for d, (keep, _) in expected.items()) <= 3
+
+
 def test_outliers_go_and_clean_documents_stay(spark):
     rows = [(i, words(i, 100 + i % 300, 5000), "en", "a" if i % 2 else "b") for i in range(1000)]
     rows += [(2000 + i, " ".join(x + "#$%&" for x in words(i, 200, 5000).split()), "en", "a") for i in range(5)]
