@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -109,36 +110,67 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), F.substring(plain, F.length(host) + 1, F.length(plain))
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", url: str = "url", key: str = "page_id") -> DataFrame:
-    """``key, host, path, rule, verdict`` for every row.
+def canonical_form(host: Column, path: Column) -> Column:
+    """``.host/path`` without user, port, dots at the host's end, empty and dot segments; a missing path is ``/``."""
+    host = F.regexp_replace(F.regexp_replace(F.regexp_replace(host, "^[^@]*@", ""), ":[0-9]*$", ""), "[.]+$", "")
+    path = F.regexp_replace(path, "(/[.]?)+/", "/")
+    return F.concat(F.lit("."), host, F.when(path == "", "/").otherwise(path))
+
+
+def glob_regex(glob: str) -> str:
+    """A glob as a regular expression over the whole text, for engines that have no such automaton."""
+    return "(?s)" + ".*".join("[^/]*".join(re.escape(part) for part in run.split("*")) for run in glob.split("**"))
+
+
+def _fits(globs: Sequence[str], text: Column) -> Column:
+    """The number of the first glob that fits the whole text, or -1; one automaton runs all of them over a batch."""
+    automaton = ShiftAnd(globs) if globs else None
+
+    @F.pandas_udf("int")
+    def first(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            if automaton is None or not len(texts):
+                yield pd.Series(np.full(len(texts), -1, np.int32))
+                continue
+            found = automaton.run([t.encode() for t in texts])
+            yield pd.Series(np.where(found.any(1), found.argmax(1), -1).astype(np.int32))
+
+    return first(text)
+
+
+def judge_urls(
+    pages: DataFrame, rules: Sequence[Rule], default: str = "allow", url: str = "url", key: str = "page_id", patterns: Sequence[str] = ()
+) -> DataFrame:
+    """``key, host, path, rule, verdict`` and ``pattern`` for every row.
 
     A rule fits its host and all subdomains when the path starts with its path; of several the longest
-    wins, and of equally long ones the earlier. Without one, ``rule`` is null and ``verdict`` is ``default``. A URL that is
-    missing or has no ``://`` has an empty host and path, which no rule fits. Repeated rows are judged
-    alike, long URLs are read to their end, other columns are not read. The automaton's size follows the
-    rules, not the data; URLs are judged where they are read, without a shuffle.
+    wins, and of equally long ones the earlier. Without one, ``rule`` is null and the ``patterns`` decide, globs over the canonical
+    URL (``canonical_form``): ``block`` and the first that fits, else ``default``. A URL that is missing or has no ``://`` has an
+    empty host and path, which no rule fits. Repeated rows are judged alike, long URLs are read to their end, other columns are not
+    read, and an empty table gives an empty result. The automata's sizes follow rules and patterns, not the data; URLs
+    are judged where they are read, without a shuffle.
     """
     ranked = sorted(rules, key=lambda r: -len(r.text))
-    automaton = ShiftAnd([r.glob for r in ranked]) if ranked else None
-    names = np.array([r.text for r in ranked] + [None], dtype=object)
-
-    @F.pandas_udf("string")
-    def fitting(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for canonical in batches:
-            if automaton is None or not len(canonical):
-                yield pd.Series([None] * len(canonical), dtype=object)
-                continue
-            fits = automaton.run([("." + c).encode() for c in canonical])
-            best = np.where(fits.any(1), fits.argmax(1), len(ranked))
-            yield pd.Series(names[best])
-
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(key), host.alias("host"), path.alias("path"))
-    judged = rows.withColumn("rule", fitting(F.concat("host", "path")))
-    verdict = F.lit(default)
-    for rule in ranked[::-1]:
-        verdict = F.when(F.col("rule") == rule.text, rule.verdict).otherwise(verdict)
-    return judged.withColumn("verdict", verdict)
+    rows = rows.withColumns(
+        {
+            "__rule": _fits([r.glob for r in ranked], F.concat(F.lit("."), "host", "path")),
+            "__pattern": _fits(patterns, canonical_form(F.col("host"), F.col("path"))),
+        }
+    )
+
+    def picked(place: Column, values: Sequence[str]) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), place) if values else F.lit(None).cast("string")
+
+    ruled, matched = F.col("__rule") >= 0, F.col("__pattern") >= 0
+    verdict = F.when(ruled, picked(F.col("__rule"), [r.verdict for r in ranked])).when(matched, F.lit("block")).otherwise(default)
+    return rows.select(
+        key, "host", "path",
+        F.when(ruled, picked(F.col("__rule"), [r.text for r in ranked])).alias("rule"),
+        verdict.alias("verdict"),
+        F.when(~ruled & matched, picked(F.col("__pattern"), patterns)).alias("pattern"),
+    )
 
 
 # The rules of the registered query.
@@ -150,6 +182,13 @@ RULES = (
     Rule("block", "com", "/de/"),
 )
 
+#: What the registered query blocks where no rule speaks: words of spam and gambling that stand alone in a host, and pages without content.
+PATTERNS = (
+    *[f"*.{word}-*/**" for word in ("spam", "casino", "poker", "bets", "warez")],
+    *[f"*-{word}.*/**" for word in ("spam", "casino", "poker", "bets", "warez")],
+    "**/wp-login.php", "**/cgi-bin/**", "**/calendar/**/calendar/**",
+)
+
 
 @register(r"""
 WITH cut AS (
@@ -170,9 +209,11 @@ ruled AS (
   FROM part
 )
 SELECT page_id, host, path, rule,
-       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled
-""")
+       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' WHEN rule IS NULL AND (@) THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM (SELECT *, '.' || regexp_replace(regexp_replace(regexp_replace(host, '^[^@]*@', ''), ':[0-9]*$', ''), '[.]+$', '')
+                || CASE WHEN path = '' THEN '/' ELSE regexp_replace(path, '(/[.]?)+/', '/', 'g') END AS canonical FROM ruled)
+""".replace("@)", " OR ".join(f"regexp_full_match(canonical, '{glob_regex(p)}')" for p in PATTERNS) + ")"))
 def op5_url_filters(spark, sf_dir):
-    """Every page's URL judged by the fixed rules."""
-    return judge_urls(table(spark, sf_dir, "pages"), RULES)
+    """Every page's URL judged by the fixed rules, and by patterns where no rule speaks."""
+    return judge_urls(table(spark, sf_dir, "pages"), RULES, patterns=PATTERNS).drop("pattern")

@@ -18,7 +18,7 @@ from delaylake.llm.packing import best_fit, default_tokenizer, encoder, pack_doc
 from delaylake.llm.quality_rules import CONSISTENCY, COVERED, CUT, LEAST_GROUP, STATISTICS, STEPS, UNIT
 from delaylake.llm.quality_rules import clean_documents, quality_verdicts
 from delaylake.llm.secret_scan import KINDS, assignments, base_spans, scan_secrets, secret_spans
-from delaylake.llm.url_filters import RULES, Rule, ShiftAnd, judge_urls
+from delaylake.llm.url_filters import PATTERNS, RULES, Rule, ShiftAnd, glob_regex, judge_urls
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -318,6 +318,28 @@ def test_urls(spark):
     assert judge_urls(pages.limit(0), [Rule("allow", "a", "/")]).collect() == []
 
 
+def test_patterns_speak_where_no_rule_does(spark):
+    urls = {
+        "http://spam-farm.net/a": "block", "http://a.spam-farm.net": "block", "http://xspam-farm.net/": "allow", "http://net/spam-/": "allow",
+        "http://spam-farm.org/a": "allow", "http://user@free-bets.net:8080/": "block", "http://free-bets.net./x": "block",
+        "http://a.net//cgi-bin/./x": "block", "http://a.net/./cgi-bin": "allow", "http://a.net/x/wp-login.php": "block",
+        "http://a.net/x/wp-login.php?a": "block", "http://a.net/calendar/1/calendar/2": "block", "http://a.net/calendar/1/": "allow",
+    }
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id bigint, url string")
+    got = judge_urls(pages, RULES, patterns=PATTERNS).orderBy("page_id").collect()
+    assert {u: r.verdict for u, r in zip(urls, got)} == urls
+    assert all((r.pattern is not None) == (r.verdict == "block") for r in got) and got[0].pattern == "*.spam-*/**"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("ab/*", min_size=1, max_size=8), min_size=1, max_size=6), st.lists(st.text("ab/", max_size=12), min_size=1, max_size=8))
+def test_globs_fit_what_their_regular_expressions_do(globs, texts):
+    found = ShiftAnd(globs).run([t.encode() for t in texts])
+    for i, text in enumerate(texts):
+        for j, glob in enumerate(globs):
+            assert found[i, j] == bool(re.fullmatch(glob_regex(glob), text)), (glob, text)
+
+
 # Language
 
 
