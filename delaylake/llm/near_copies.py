@@ -65,13 +65,13 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 _ROWS = pa.schema(
     [("doc_id", pa.int64()), ("text_sha256", pa.string()), ("digest", pa.binary()), ("fp", pa.int64()), ("n", pa.int32()),
-     ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())), ("found", pa.list_(pa.int64()))]
+     ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))]
 )
-_ROWS_DDL = "doc_id bigint, text_sha256 string, digest binary, fp bigint, n int, bits array<bigint>, prefix array<bigint>, found array<bigint>"
+_ROWS_DDL = "doc_id bigint, text_sha256 string, digest binary, fp bigint, n int, bits array<bigint>, prefix array<bigint>"
 
 
 def _hashed(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """Per row its set, the set's 128-bit digest, and what finds its candidates. Texts are hashed here and nowhere else."""
+    """Per row the 128-bit digest of its set and what finds its candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,7 +81,7 @@ def _hashed(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 found = shingle_set(digests)
                 fp = np.uint64(majority(digests)).astype(np.int64)
                 digest = xxhash.xxh3_128_digest(found.tobytes())
-                rows.append((doc_id, sha, digest, fp, len(found), _parities(found), _prefix(found, common), found))
+                rows.append((doc_id, sha, digest, fp, len(found), _parities(found), _prefix(found, common)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ROWS)], schema=_ROWS)
 
@@ -90,6 +90,24 @@ def _hashed(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, _ROWS_DDL)
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes, texts = (c.to_pylist() for c in batch.columns)
+        found = [shingle_set(list(shingle_digests(t.encode("utf-8", "replace"), SHINGLE))) for t in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "found"])
+
+
+def sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, found``: the sets of these nodes (``node, text_sha256``, no text twice), made again from their texts.
+
+    Most documents resemble none, so making the sets of the others twice costs less than keeping all.
+    """
+    text = text_of()
+    texts = docs.select(F.sha2(text.cast("binary"), 256).alias("text_sha256"), text.alias("text"))
+    texts = texts.join(nodes, "text_sha256").dropDuplicates(["text_sha256"])
+    return texts.select("node", "text").mapInArrow(_sets, "node bigint, found array<bigint>")
+
+
 def _sizes_fit(n: Column, m: Column) -> Column:
     return DEN * F.least(n, m) >= NUM * F.greatest(n, m)
 
@@ -99,7 +117,7 @@ def _enough(shared: Column, total: Column) -> Column:
     return (NUM + DEN) * shared >= NUM * total
 
 
-def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of nodes whose sets are similar enough.
 
     Sizes and parity bitmaps refuse pairs that cannot be, before anything is written; the sets of the others are intersected.
@@ -111,8 +129,8 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     total = F.col("n_a") + F.col("n_b")
     may = (NUM + DEN) * sum(apart[1:], apart[0]) <= (DEN - NUM) * total
     left = written(pairs.where(_sizes_fit(F.col("n_a"), F.col("n_b")) & may).select("a", "b", total.alias("total")), "near_candidates")
-    x, y = (rows.select(F.col("node").alias(c), F.col("found").alias(f"found_{c}")) for c in "ab")
-    x, y = (sets.join(left.select(c).distinct(), c, "left_semi") for sets, c in ((x, "a"), (y, "b")))
+    x, y = (sets.select(F.col("node").alias(c), F.col("found").alias(f"found_{c}")) for c in "ab")
+    x = x.join(left.select("a").distinct(), "a", "left_semi")
     shared = F.size(F.array_intersect("found_a", "found_b"))
     return left.join(y, "b").join(x, "a").where(_enough(shared, F.col("total"))).select("a", "b")
 
@@ -201,7 +219,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
         entries = _entries(nodes.select("node", "n", "prefix")).withColumn("component", F.col("node"))
         entries = written(_buckets(entries), "near_entries")
         pairs = written(_grid_pairs(nodes.select("node", "fp")), "near_pairs")
-        edges, tried = written(verified(pairs, rows), "near_edges"), pairs
+        found = entries.select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+        found = written(rows.select("node", "text_sha256").join(found, "node", "left_semi"), "near_wanted")
+        sets = written(sets_of(found, docs), "near_sets")
+        edges, tried = written(verified(pairs, rows, sets), "near_edges"), pairs
         open_ = entries
         for seed in range(LEADERS + 1):
             last = seed == LEADERS
@@ -211,7 +232,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
             pairs = _rest_pairs(open_) if last else _leader_pairs(open_, seed)
             known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = written(pairs.join(known, ["a", "b"], "left_anti"), "near_pairs")
-            edges = edges.unionByName(written(verified(pairs, rows), "near_edges"))
+            edges = edges.unionByName(written(verified(pairs, rows, sets), "near_edges"))
             tried = tried.unionByName(pairs)
         edges = edges.unionByName(equal.select(F.col("least").alias("a"), "b"))
         named = written(connected_components(edges), "near_components")
