@@ -117,6 +117,12 @@ def _enough(shared: Column, total: Column) -> Column:
     return (NUM + DEN) * shared >= NUM * total
 
 
+def _bits_allow(x: str, y: str, total: Column) -> Column:
+    """The parity bitmaps ``x`` and ``y`` of sets of ``total`` members together differ in no more bits than similar sets may."""
+    apart = [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(PARITIES)]
+    return (NUM + DEN) * sum(apart[1:], apart[0]) <= (DEN - NUM) * total
+
+
 def verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of nodes whose sets are similar enough.
 
@@ -125,10 +131,9 @@ def verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
     """
     x, y = (rows.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
     pairs = pairs.join(x, "a").join(y, "b")
-    apart = [F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(PARITIES)]
     total = F.col("n_a") + F.col("n_b")
-    may = (NUM + DEN) * sum(apart[1:], apart[0]) <= (DEN - NUM) * total
-    left = written(pairs.where(_sizes_fit(F.col("n_a"), F.col("n_b")) & may).select("a", "b", total.alias("total")), "near_candidates")
+    may = _sizes_fit(F.col("n_a"), F.col("n_b")) & _bits_allow("bits_a", "bits_b", total)
+    left = written(pairs.where(may).select("a", "b", total.alias("total")), "near_candidates")
     x, y = (sets.select(F.col("node").alias(c), F.col("found").alias(f"found_{c}")) for c in "ab")
     x = x.join(left.select("a").distinct(), "a", "left_semi")
     shared = F.size(F.array_intersect("found_a", "found_b"))
@@ -182,9 +187,13 @@ def _leader_pairs(open_: DataFrame, seed: int) -> DataFrame:
 
 
 def _rest_pairs(open_: DataFrame) -> DataFrame:
-    """All pairs of nodes that some bucket still allows; a passage that does not make its carriers similar allows none of them,
-    once it stands behind what is their own."""
-    met = open_.alias("x").join(open_.alias("y").hint("merge"), "shingle").where((F.col("x.node") < F.col("y.node")) & _can_link("x", "y"))
+    """All pairs of nodes that some bucket still allows, by places, sizes and bitmaps (``bits``), before a pair is a row.
+
+    A passage that does not make its carriers similar allows none of them, once it stands behind what is their own; variants of one
+    text that have grown apart are told by their bitmaps.
+    """
+    may = _can_link("x", "y") & _bits_allow("x.bits", "y.bits", F.col("x.n") + F.col("y.n"))
+    met = open_.alias("x").join(open_.alias("y").hint("merge"), "shingle").where((F.col("x.node") < F.col("y.node")) & may)
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
@@ -229,7 +238,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
             joined = written(connected_components(edges) if last else _labels(edges), "near_joined")
             placed = open_.drop("component").join(joined, "node", "left")
             open_ = written(_buckets(placed.withColumn("component", F.coalesce("component", "node"))), "near_open")
-            pairs = _rest_pairs(open_) if last else _leader_pairs(open_, seed)
+            pairs = _rest_pairs(open_.join(rows.select("node", "bits"), "node")) if last else _leader_pairs(open_, seed)
             known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = written(pairs.join(known, ["a", "b"], "left_anti"), "near_pairs")
             edges = edges.unionByName(written(verified(pairs, rows, sets), "near_edges"))

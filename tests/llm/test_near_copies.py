@@ -115,3 +115,26 @@ def test_scratch_copies_go_and_the_result_stays(spark):
     names = {p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in session._made[before:]}
     assert names == {"near_rows", "near_components"}
     assert found.count() == 60
+
+
+def test_variants_that_have_grown_apart_make_no_pairs_of_all(spark, monkeypatch):
+    """Each differs from one text in a tenth of its words, so any two are similar to two thirds only."""
+    counted = []
+    original = module._rest_pairs
+
+    def counting(open_):
+        pairs = original(open_)
+        counted.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(module, "_rest_pairs", counting)
+    base, rng = words(31, 300, 5000).split(), random.Random(8)
+    rows = []
+    for i in range(200):
+        text = list(base)
+        for at in rng.sample(range(300), 12):
+            text[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(text), "en", "a"))
+    rows += [(500 + i, f"{rows[i][1]} and one word more", "en", "a") for i in range(0, 200, 20)]
+    assert sorted(str(r.doc_id) for r in without_near_copies(odd_documents(spark, rows)).collect()) == survivors(rows)
+    assert all(pairs < 1000 for pairs in counted)
