@@ -221,12 +221,15 @@ def near_copies(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     with releasing(spark, "near_rows", "near_components"):
         hashed = _hashed(docs, common_shingles(docs)).withColumn("node", F.monotonically_increasing_id())
-        rows = written(hashed, "near_rows")
-        least = written(rows.groupBy("digest").agg(F.min("node").alias("least")), "near_digests")
+        with releasing(spark, "near_digests", "near_entries", "near_rows"):  # prefixes are needed for the entries only
+            rows = written(hashed, "near_prefixes")
+            least = written(rows.groupBy("digest").agg(F.min("node").alias("least")), "near_digests")
+            nodes = rows.join(least.select(F.col("least").alias("node")), "node", "left_semi")
+            entries = _entries(nodes.select("node", "n", "prefix")).withColumn("component", F.col("node"))
+            entries = written(_buckets(entries), "near_entries")
+            rows = written(rows.drop("prefix"), "near_rows")
         equal = rows.select("digest", F.col("node").alias("b")).join(least, "digest").where("least <> b")
         nodes = rows.join(least.select(F.col("least").alias("node")), "node", "left_semi")
-        entries = _entries(nodes.select("node", "n", "prefix")).withColumn("component", F.col("node"))
-        entries = written(_buckets(entries), "near_entries")
         pairs = written(_grid_pairs(nodes.select("node", "fp")), "near_pairs")
         found = entries.select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
         found = written(rows.select("node", "text_sha256").join(found, "node", "left_semi"), "near_wanted")
