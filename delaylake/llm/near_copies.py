@@ -17,7 +17,7 @@ from .simhash import majority, near_links, shingle_digests
 
 SHINGLE = 5  # words
 NUM, DEN = 4, 5  # least Jaccard similarity of two sets of shingles, as a fraction
-PARITIES = 16  # 64-bit words of a set's parity bitmap
+PARITIES = 16  # least 64-bit words of a set's parity bitmap, which grows with the set
 SAMPLED, OFTEN, MOST_COMMON = 64, 3, 50_000  # one text in so many shows which shingles are common; bound of their list
 LEADERS = 2  # rounds in which a node is compared with one leader of its buckets, before all pairs left
 
@@ -42,9 +42,13 @@ def _prefix(found: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _parities(found: np.ndarray) -> np.ndarray:
-    """Bit i tells whether an odd number of shingles falls on i: two bitmaps differ in no more bits than the sets in shingles."""
-    places = found.view(np.uint64) % np.uint64(64 * PARITIES)
-    odd = np.bincount(places.astype(np.int64), minlength=64 * PARITIES) & 1
+    """Bit i tells whether an odd number of shingles falls on i: two bitmaps differ in no more bits than the sets in shingles.
+
+    Two bits a shingle at least, since a bitmap that half its bits fill tells nothing; a power of two, so that it folds to a smaller one.
+    """
+    size = max(64 * PARITIES, 1 << (2 * len(found) - 1).bit_length() if len(found) else 0)
+    places = found.view(np.uint64) % np.uint64(size)
+    odd = np.bincount(places.astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -117,23 +121,40 @@ def _enough(shared: Column, total: Column) -> Column:
     return (NUM + DEN) * shared >= NUM * total
 
 
-def _bits_allow(x: str, y: str, total: Column) -> Column:
-    """The parity bitmaps ``x`` and ``y`` of sets of ``total`` members together differ in no more bits than similar sets may."""
-    apart = [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(PARITIES)]
-    return (NUM + DEN) * sum(apart[1:], apart[0]) <= (DEN - NUM) * total
+def _apart(x: Column, y: Column) -> Column:
+    """In how many bits two parity bitmaps differ; the longer one, of twice the length, is folded first."""
+    words = F.least(F.size(x), F.size(y))
 
+    def folded(bits: Column) -> Column:
+        halves = F.zip_with(F.slice(bits, F.lit(1), words), F.slice(bits, words + 1, words), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(bits) > words, halves).otherwise(bits)
 
-def verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose sets are similar enough.
+    differ = F.zip_with(folded(x), folded(y), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    plain = [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(PARITIES)]
+    short = (F.size(x) == PARITIES) & (F.size(y) == PARITIES)
+    return F.when(short, sum(plain[1:], plain[0])).otherwise(F.aggregate(differ, F.lit(0), lambda total, n: total + n))
 
-    Sizes and parity bitmaps refuse pairs that cannot be, before anything is written; the sets of the others are intersected.
-    ``a`` is the node that stands in many pairs, if one does: its set travels once, those of its partners twice.
-    """
+
+def _bits_allow(x: str, y: str, total: Column) -> Column:
+    """The parity bitmaps ``x`` and ``y`` of sets of fitting sizes and ``total`` members together differ in no more bits than similar
+    sets may."""
+    return (NUM + DEN) * _apart(F.col(x), F.col(y)) <= (DEN - NUM) * total
+
+
+def allowed(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``a, b, total`` of those pairs of nodes that sizes and parity bitmaps do not refuse; ``total`` counts the members of both sets."""
     x, y = (rows.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
     pairs = pairs.join(x, "a").join(y, "b")
     total = F.col("n_a") + F.col("n_b")
     may = _sizes_fit(F.col("n_a"), F.col("n_b")) & _bits_allow("bits_a", "bits_b", total)
-    left = written(pairs.where(may).select("a", "b", total.alias("total")), "near_candidates")
+    return pairs.where(may).select("a", "b", total.alias("total"))
+
+
+def verified(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of nodes (``a, b, total``) whose sets are similar enough.
+
+    ``a`` is the node that stands in many pairs, if one does: its set travels once, those of its partners twice.
+    """
     x, y = (sets.select(F.col("node").alias(c), F.col("found").alias(f"found_{c}")) for c in "ab")
     x = x.join(left.select("a").distinct(), "a", "left_semi")
     shared = F.size(F.array_intersect("found_a", "found_b"))
@@ -149,15 +170,23 @@ def _grid_pairs(nodes: DataFrame) -> DataFrame:
     return pairs.where("a <> b").distinct()
 
 
+def _short(n: Column, pos: Column) -> Column:
+    """Of two similar sets the first shared shingle stands in the first fifth of both; in the one that is not larger it stands in
+    the first ninth, since both share 4/9 of their sum, which is 8/9 of the smaller at least. Tells whether a place is in that part."""
+    return pos <= n - F.ceil(2 * NUM * n / (NUM + DEN))
+
+
 def _entries(nodes: DataFrame) -> DataFrame:
-    """``shingle, node, n, pos, short``: where each node can be found, and at which place of the common order.
+    """``shingle, node, n, pos, short, component``: where each node can be found, and at which place of the common order.
 
-    Of two similar sets the first shared shingle stands in the first fifth of both; in the one that is not larger it stands in
-    the first ninth, since both share 4/9 of their sum, which is 8/9 of the smaller at least. ``short`` marks that part.
+    Shingles of one node only, or which stand in no node's first ninth, are left out. Nearly all are, so what is counted and what is
+    moved for them holds no more than that takes. Every node is a component of its own.
     """
-    smaller = F.ceil(2 * NUM * F.col("n") / (NUM + DEN))
-    rows = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    return rows.select("shingle", "node", "n", "pos", (F.col("pos") <= F.col("n") - smaller).alias("short"))
+    rows = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle")).select("shingle", "node", "n", "pos")
+    several = rows.select("shingle", _short(F.col("n"), F.col("pos")).alias("short")).groupBy("shingle")
+    several = several.agg(F.count("*").alias("__nodes"), F.max("short").alias("__short")).where("__nodes > 1 AND __short")
+    rows = rows.join(several.select("shingle").hint("merge"), "shingle", "left_semi")
+    return rows.withColumn("short", _short(F.col("n"), F.col("pos"))).withColumn("component", F.col("node"))
 
 
 def _can_link(x: str, y: str) -> Column:
@@ -177,6 +206,26 @@ def _buckets(entries: DataFrame) -> DataFrame:
     return entries.join(several.hint("merge"), "shingle", "left_semi")
 
 
+def _with_partner(entries: DataFrame, may: Column) -> DataFrame:
+    """The entries that ``may`` stand for a link with another one, ``y``, of their bucket. The first that does ends the search."""
+    other = entries.alias("y").hint("merge")
+    return entries.alias("x").join(other, (F.col("x.shingle") == F.col("y.shingle")) & may, "left_semi").select("x.*")
+
+
+def _hopeful(entries: DataFrame, rows: DataFrame) -> DataFrame:
+    """The entries that have a partner by places, sizes and bitmaps. A link has one where both of its nodes have such an entry.
+
+    Most nodes share a shingle with some other, but few have a partner, so few sets are needed.
+    """
+    placed = written(_with_partner(entries, _can_link("x", "y")), "near_placed")
+    told = placed.join(rows.select("node", "bits"), "node")
+    return _with_partner(told, _can_link("x", "y") & _bits_met()).drop("bits")
+
+
+def _bits_met() -> Column:
+    return _bits_allow("x.bits", "y.bits", F.col("x.n") + F.col("y.n"))
+
+
 def _leader_pairs(open_: DataFrame, seed: int) -> DataFrame:
     """Every node with that leader of its buckets which it meets most often; a bucket's leader is the least under some hash."""
     named = F.struct("node", "n", "pos", "short", "component")
@@ -192,7 +241,7 @@ def _rest_pairs(open_: DataFrame) -> DataFrame:
     A passage that does not make its carriers similar allows none of them, once it stands behind what is their own; variants of one
     text that have grown apart are told by their bitmaps.
     """
-    may = _can_link("x", "y") & _bits_allow("x.bits", "y.bits", F.col("x.n") + F.col("y.n"))
+    may = _can_link("x", "y") & _bits_met()
     met = open_.alias("x").join(open_.alias("y").hint("merge"), "shingle").where((F.col("x.node") < F.col("y.node")) & may)
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
@@ -225,16 +274,19 @@ def near_copies(docs: DataFrame) -> DataFrame:
             rows = written(hashed, "near_prefixes")
             least = written(rows.groupBy("digest").agg(F.min("node").alias("least")), "near_digests")
             nodes = rows.join(least.select(F.col("least").alias("node")), "node", "left_semi")
-            entries = _entries(nodes.select("node", "n", "prefix")).withColumn("component", F.col("node"))
-            entries = written(_buckets(entries), "near_entries")
+            entries = written(_entries(nodes.select("node", "n", "prefix")), "near_entries")
             rows = written(rows.drop("prefix"), "near_rows")
         equal = rows.select("digest", F.col("node").alias("b")).join(least, "digest").where("least <> b")
         nodes = rows.join(least.select(F.col("least").alias("node")), "node", "left_semi")
-        pairs = written(_grid_pairs(nodes.select("node", "fp")), "near_pairs")
+        with releasing(spark, "near_hopeful"):
+            entries = written(_hopeful(entries, rows), "near_hopeful")
+        with releasing(spark, "near_candidates", "near_tried"):
+            tried = written(_grid_pairs(nodes.select("node", "fp")), "near_tried")
+            pairs = written(allowed(tried, rows), "near_candidates")
         found = entries.select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
         found = written(rows.select("node", "text_sha256").join(found, "node", "left_semi"), "near_wanted")
         sets = written(sets_of(found, docs), "near_sets")
-        edges, tried = written(verified(pairs, rows, sets), "near_edges"), pairs
+        edges = written(verified(pairs, sets), "near_edges")
         open_ = entries
         for seed in range(LEADERS + 1):
             last = seed == LEADERS
@@ -244,7 +296,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
             pairs = _rest_pairs(open_.join(rows.select("node", "bits"), "node")) if last else _leader_pairs(open_, seed)
             known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = written(pairs.join(known, ["a", "b"], "left_anti"), "near_pairs")
-            edges = edges.unionByName(written(verified(pairs, rows, sets), "near_edges"))
+            left = written(allowed(pairs, rows), "near_candidates")
+            edges = edges.unionByName(written(verified(left, sets), "near_edges"))
             tried = tried.unionByName(pairs)
         edges = edges.unionByName(equal.select(F.col("least").alias("a"), "b"))
         named = written(connected_components(edges), "near_components")

@@ -138,3 +138,28 @@ def test_variants_that_have_grown_apart_make_no_pairs_of_all(spark, monkeypatch)
     rows += [(500 + i, f"{rows[i][1]} and one word more", "en", "a") for i in range(0, 200, 20)]
     assert sorted(str(r.doc_id) for r in without_near_copies(odd_documents(spark, rows)).collect()) == survivors(rows)
     assert all(pairs < 1000 for pairs in counted)
+
+
+def test_only_what_has_a_partner_gets_a_set(spark, monkeypatch):
+    """Short texts with one passage, long ones alike to three fifths: places and bitmaps refuse all but the copies, whose bitmaps fold."""
+    wanted = []
+    original = module.sets_of
+
+    def counting(nodes, docs):
+        wanted.append(nodes.count())
+        return original(nodes, docs)
+
+    monkeypatch.setattr(module, "sets_of", counting)
+    passage, base, rng = words(41, 40, 5000), words(42, 3000, 10**6).split(), random.Random(5)
+    rows = [(i, f"{words(2000 + i, 60, 10**6)} {passage}", "en", "a") for i in range(60)]
+    for i in range(20):
+        text = list(base)
+        for at in rng.sample(range(3000), 150):
+            text[at] = f"own{i}x{at}"
+        rows.append((100 + i, " ".join(text), "en", "a"))
+    rows += [(200 + i, f"{rows[i][1]} and one word more", "en", "a") for i in (7, 70)]
+    rows += [(300, words(43, 1000, 10**6), "en", "a"), (301, f"{words(43, 1000, 10**6)} {words(44, 100, 10**6)}", "en", "a")]
+    left = sorted(str(r.doc_id) for r in without_near_copies(odd_documents(spark, rows)).collect())
+    assert left == survivors(rows)
+    assert "301" not in left and len(left) == len(rows) - 3
+    assert 6 <= sum(wanted) <= 12
