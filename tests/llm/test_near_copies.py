@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
+import numpy as np
 from edge_cases import COLUMNS, odd_documents, odd_rows, words
 
 import corpus_pipeline
@@ -163,3 +165,19 @@ def test_only_what_has_a_partner_gets_a_set(spark, monkeypatch):
     assert left == survivors(rows)
     assert "301" not in left and len(left) == len(rows) - 3
     assert 6 <= sum(wanted) <= 12
+
+
+def test_prefix_time_does_not_grow_with_the_list_of_common_shingles():
+    """A set of a few shingles does not pay for 50,000 common ones; those of the list stand last, in order of their hashes."""
+    rng = np.random.default_rng(5)
+    common = np.unique(rng.integers(-(2**62), 2**62, module.MOST_COMMON))
+    sets = [np.unique(np.concatenate([rng.integers(-(2**62), 2**62, 90), rng.choice(common, 10)])) for _ in range(300)]
+    began = time.process_time()
+    found = [module._prefix(s, common).tolist() for s in sets]
+    assert time.process_time() - began < 0.5
+    known = set(common.tolist())
+    for s, prefix in zip(sets, found):
+        order = sorted(s.tolist(), key=lambda x: (x in known, x))
+        assert prefix == order[: len(s) - module.least_shared(len(s)) + 1]
+    empty = np.zeros(0, np.int64)
+    assert module._prefix(empty, common).tolist() == [] and module._prefix(sets[0], empty).tolist() == sets[0][: len(found[0])].tolist()
