@@ -29,7 +29,7 @@ from delaylake.plans import (
     train_minutes_regressor,
 )
 from delaylake.plans.staging import NotReady
-from delaylake.sources import read_flight_documents, read_weather_documents
+from delaylake.sources import parse_flight_documents, parse_weather_documents, read_flight_documents, read_weather_documents
 from test_sources import daily, write_json
 
 RUN = dt.datetime(2026, 3, 8, 7, tzinfo=dt.timezone.utc)
@@ -182,6 +182,71 @@ def test_rows_of_no_or_another_day_go_to_quarantine(spark, lake, landed, tmp_pat
         assert {r.reason: r["count"] for r in kept} == {"unreadable date": 1, "another day": 1}
 
 
+def counted_documents(spark, lines):
+    """Documents of one line each, and the count of lines that jobs have read of them."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    texts = spark.createDataFrame([(json.dumps(line),) for line in lines], "value string").repartition(2)
+    return texts.mapInPandas(count, "value string"), read
+
+
+def kept_in_quarantine(lake, table):
+    kept = lake.table("ops", "quarantine").filter(F.col("load_table") == f"raw.{table}")
+    return sorted(((r.reason, str(r.date_photo), json.loads(r.content)) for r in kept.collect()), key=str) if lake.exists("ops", "quarantine") else []
+
+
+def test_a_load_with_quarantined_flights_reads_every_document_once(spark, lake):
+    flights = [flight(i, DAY, "NCE", 9, 5) for i in range(4)]
+    flights[1]["flightScheduleDate"] = "soon"
+    flights[2]["flightScheduleDate"] = "2026-03-01"
+    abroad = flight(9, DAY, "JFK", 9, 5)  # not on the route: neither loaded nor kept
+    # Every flight alone in a document, one of another day and one loaded twice.
+    texts, read = counted_documents(spark, [{"operationalFlights": [f, None]} for f in (*flights, flights[0], flights[2], abroad)])
+    for run in ("r1", "r2"):  # a repeated load replaces what the first has kept
+        assert load_flights(lake, parse_flight_documents(texts, "value"), "raw", RUN, "flights", run) == 3
+        kept = kept_in_quarantine(lake, "raw_flights")
+        assert [(reason, date, row["flight_id"], row["date"]) for reason, date, row in kept] == [
+            ("another day", "2026-03-08", flights[2]["id"], "2026-03-01"), ("another day", "2026-03-08", flights[2]["id"], "2026-03-01"),
+            ("unreadable date", "2026-03-08", flights[1]["id"], "soon"),
+        ]
+        assert all((row["instance_id"], row["dag_id"], row["annee_photo"]) == (run, "flights", 2026) and "date_photo" not in row for *_, row in kept)
+        loaded = lake.table("raw", "raw_flights").select("flight_id", "instance_id").collect()
+        assert sorted(map(tuple, loaded)) == sorted((flights[i]["id"], run) for i in (0, 0, 3))
+    assert read.value == 2 * 7  # two loads of seven documents
+    assert spark._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_a_load_without_flights_of_its_day_keeps_them_all(spark, lake):
+    texts, read = counted_documents(spark, [{"operationalFlights": [flight(i, DAY + dt.timedelta(days=3), "NCE", 9, 5)]} for i in range(5)])
+    assert load_flights(lake, parse_flight_documents(texts, "value"), "raw", RUN, "flights", "r") == 0
+    assert len(kept_in_quarantine(lake, "raw_flights")) == read.value == 5
+
+
+def test_a_weather_load_reads_every_document_once(spark, lake):
+    document = daily()
+    document["daily"]["time"][0] = None
+    texts, read = counted_documents(spark, [daily(), document])
+    documents = parse_weather_documents(texts.withColumn("airport_iata", F.lit("NCE")), "value")
+    loaded = load_weather(lake, documents, "raw", RUN, "weather", "r")
+    kept = kept_in_quarantine(lake, "raw_weather")
+    assert sorted({reason for reason, *_ in kept}) == ["another day", "unreadable date"]
+    assert loaded + len(kept) == 2 * len(document["daily"]["time"])
+    assert read.value == 2
+
+
+def test_a_failed_load_leaves_nothing_kept(spark, lake):
+    broken = flight(1, DAY, "NCE", 9, 5) | {"flightNumber": None}
+    texts, _ = counted_documents(spark, [{"operationalFlights": [broken]}])
+    with pytest.raises(Exception, match="flight without a required field"):
+        load_flights(lake, parse_flight_documents(texts, "value"), "raw", RUN, "flights", "r")
+    assert spark._jsc.getPersistentRDDs().isEmpty()
+
+
 def test_kpi_file(spark, tmp_path):
     runs = spark.createDataFrame(
         [("success", "2026-03-07T06:00:00Z", "2026-03-07T06:01:00Z"), ("failure", "2026-02-01T06:00:00Z", None)],
