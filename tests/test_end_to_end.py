@@ -28,6 +28,7 @@ from delaylake.plans import (
     train_delay_classifier,
     train_minutes_regressor,
 )
+from delaylake.plans.queries import QUERIES, sources
 from delaylake.plans.staging import NotReady
 from delaylake.sources import parse_flight_documents, parse_weather_documents, read_flight_documents, read_weather_documents
 from test_sources import daily, write_json
@@ -239,6 +240,31 @@ def test_a_weather_load_reads_every_document_once(spark, lake):
     assert read.value == 2
 
 
+def test_load_flights_job_reads_every_landed_document_once(spark, tmp_path, monkeypatch):
+    at = dt.datetime(2024, 1, 10, 9)
+    # Half of the flights are of the day, one event comes twice, one has no type and no value.
+    events = [(i, 7 + i, at + dt.timedelta(days=i % 2), "click", 1.0, '{"k": %d}' % i) for i in range(8)] + [(2, 9, at, None, None, '{"k": 2}')]
+    ddl = "event_id bigint, user_id bigint, ts timestamp, event_type string, value double, props string"
+    spark.createDataFrame(events, ddl).write.parquet(str(tmp_path / "events.parquet"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(spark, path, multi_line):
+        def count(frames):
+            for frame in frames:
+                read.add(len(frame))
+                yield frame
+
+        return parse_flight_documents(spark.read.text(path).mapInPandas(count, "value string"), "value")
+
+    monkeypatch.setattr(sources, "read_flight_documents", counted)
+    loaded = sorted(QUERIES["load_flights_job"](spark, str(tmp_path)).select("flight_id", "status", "delay_code", "date_photo").collect(), key=str)
+    assert list(map(tuple, loaded)) == [
+        ("0", "ON_TIME", "{}", "2024-01-11"), ("2", "ON_TIME", "{2}", "2024-01-11"), ("2", None, "{2}", "2024-01-11"),
+        ("4", "ON_TIME", "{4}", "2024-01-11"), ("6", "ON_TIME", "{6}", "2024-01-11"),
+    ]
+    assert read.value == len(events)
+
+
 def test_a_failed_load_leaves_nothing_kept(spark, lake):
     broken = flight(1, DAY, "NCE", 9, 5) | {"flightNumber": None}
     texts, _ = counted_documents(spark, [{"operationalFlights": [broken]}])
