@@ -6,6 +6,7 @@ import datetime as dt
 import json
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -211,6 +212,7 @@ def coverage_stream(
 
 
 _NEWEST_ORDER, _NEWEST_TIE, _NEWEST_ROW = "event_ms", "tie", "row"
+_NEWEST_COLUMNS = [_NEWEST_ORDER, _NEWEST_TIE, _NEWEST_ROW]
 _HELD = f"{_NEWEST_ORDER} bigint, {_NEWEST_TIE} bigint, {_NEWEST_ROW} string"
 #: Rows travel through the state as text, complete and with microseconds.
 _ROW_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -234,8 +236,8 @@ def _newest_per_key(quiet_ms: int):
         else:
             if held is not None and held[0] + quiet_ms <= watermark:
                 close()
-            rows = sorted(row for frame in frames for row in frame[[_NEWEST_ORDER, _NEWEST_TIE, _NEWEST_ROW]].itertuples(index=False, name=None))
-            for row in rows:
+            # Runs once per key and micro-batch, mostly on a few rows: building frames would cost more than going through them.
+            for row in sorted(row for frame in frames for row in zip(*(frame[c].tolist() for c in _NEWEST_COLUMNS))):
                 if row[0] <= watermark:
                     out.append((*row, True))
                 elif held is None or row[0] >= held[0] + quiet_ms:
@@ -250,7 +252,7 @@ def _newest_per_key(quiet_ms: int):
             # Fires once the watermark is beyond this instant, which is before the row becomes quiet by a millisecond.
             state.setTimeoutTimestamp(held[0] + quiet_ms - 1)
         if out:
-            yield pd.DataFrame(out, columns=[_NEWEST_ORDER, _NEWEST_TIE, _NEWEST_ROW, "late"])
+            yield pd.DataFrame(np.array(out, dtype=object), columns=[*_NEWEST_COLUMNS, "late"])
 
     return run
 

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+import pandas as pd
 import pytest
 
 from delaylake.sinks.versions import VersionedTable
@@ -191,6 +192,56 @@ def test_newest_row_per_key_leaves_the_state_when_it_is_quiet(spark, tmp_path):
         newest_stream(spark.createDataFrame([], ddl), ["k"], "ts", "3 hours", dt.timedelta(0))
 
 
+class HeldState:
+    """The part of Spark's group state that a function of one key uses."""
+
+    def __init__(self, held=None, watermark=0, timed_out=False):
+        self.get, self.watermark, self.hasTimedOut, self.timeout = held, watermark, timed_out, None
+
+    exists = property(lambda self: self.get is not None)
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def update(self, held):
+        self.get = held
+
+    def remove(self):
+        self.get = None
+
+    def setTimeoutTimestamp(self, at):
+        self.timeout = at
+
+
+def columns(*rows):
+    """A chunk of rows that only gives single columns, as a frame does, but makes no other frame."""
+    return {c: pd.Series([r[i] for r in rows], dtype="object" if c == "row" else "int64") for i, c in enumerate(("event_ms", "tie", "row"))}
+
+
+@pytest.mark.parametrize(
+    ("state", "chunks", "out", "held"),
+    [
+        # Two chunks out of order, a row twice, equal times: the larger tie break, then the larger row is held.
+        (HeldState(), [[(50, 1, "b"), (10, 1, "a")], [(50, 2, "c"), (50, 2, "c"), (50, 2, "d")]], [], (50, 2, "d")),
+        # A pause in one chunk; an older row than the one held changes nothing, not even one a pause before it.
+        (HeldState((500, 1, "h"), 5), [[(700, 1, "y"), (20, 9, "x")]], [(500, 1, "h", False)], (700, 1, "y")),
+        # The held row has become quiet. Rows not newer than the watermark, also one without a time, come out late.
+        (HeldState((50, 1, "h"), 150), [[(150, 1, "l"), (151, 0, "n"), (-1, 0, "no time")]], [(50, 1, "h", False), (-1, 0, "no time", True), (150, 1, "l", True)], (151, 0, "n")),
+        # Only late rows of a key that holds nothing; an empty chunk; a key timed out.
+        (HeldState(None, 150), [[(3, 1, "l")]], [(3, 1, "l", True)], None),
+        (HeldState((500, 1, "h"), 5), [[]], [], (500, 1, "h")),
+        (HeldState((50, 1, "h"), 150, timed_out=True), [[]], [(50, 1, "h", False)], None),
+    ],
+)
+def test_newest_row_is_found_without_frames_of_a_key(monkeypatch, state, chunks, out, held):
+    made = []
+    monkeypatch.setattr(streams.pd, "DataFrame", lambda *a, f=pd.DataFrame, **b: made.append(f(*a, **b)) or made[-1])
+    found = list(streams._newest_per_key(100)(("k",), (columns(*rows) for rows in chunks), state))
+    assert [tuple(row) for frame in found for row in frame.values.tolist()] == out
+    assert state.get == held and state.timeout == (None if held is None else held[0] + 99)
+    assert len(made) == len(found) == (1 if out else 0)  # one frame for all rows that leave, none else
+
+
 def test_dedupe_keeps_one_row_per_key_across_runs(spark, tmp_path):
     ddl = "k string, v int, ts timestamp"
     t = dt.datetime(2026, 3, 7, 6)
